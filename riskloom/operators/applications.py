@@ -242,13 +242,15 @@ def build_features(
     *,
     index_as_feature: bool = False,
     ranges: int | None = None,
+    stage: bool = True,
 ) -> FeatureBuild:
     """Position, clock, calendar, missing flags, ratios, interactions, velocity and rules.
 
     `tie` names columns that make the order unique; they stay in the frame but are no features.
+    The cleaned input is staged, as positions need several passes and cleaning has a shuffle.
     """
     order = reproducible_order(df, tie)
-    indexed = with_row_index(df, order, "event_id", ranges=ranges)
+    indexed = with_row_index(df, order, "event_id", ranges=ranges, stage=stage)
     frame = row_features(indexed.frame)
     categorical, numerical = feature_lists(
         frame.columns, target, index_as_feature=index_as_feature, not_features=tie

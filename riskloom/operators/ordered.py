@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import stage_table
+
 MAX_RANGES = 4096
 ROWS_PER_RANGE = 2_000_000
 SAMPLES_PER_RANGE = 24
@@ -152,12 +154,17 @@ def with_row_index(
     name: str = "event_id",
     *,
     ranges: int | None = None,
+    stage: bool = False,
 ) -> IndexedFrame:
     """Add the 0-based position under a global order; the keys should make rows unique.
 
     One shuffle of the rows by range, none of them into a single task. The range
     counts (at most MAX_RANGES numbers) go through the driver as offsets.
+    The input is read four times: a count, then key columns twice, then all of it. With
+    `stage` it is written first; ask for that when it is more than a scan.
     """
+    if stage:
+        df = stage_table(df, f"unordered-{name}")
     plan = fit_ranges(df, order, ranges=ranges)
     placed = df.withColumn("_range", plan.place())
     counts = {r["_range"]: r["n"] for r in placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("tables",)
+MODULES = ("tables", "features", "alert_queries")
 
 
 def load() -> None:
