@@ -11,14 +11,16 @@ from pyspark.sql import types as T
 RECORD_KEYS = ("data", "items", "records")
 
 
-def read_records(spark: SparkSession, path: str, *, schema: T.StructType | None = None) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, *, schema: T.StructType | None = None, one_per_file: bool = True
+) -> DataFrame:
     """Rows of a landed payload.
 
     A payload is a list of records, or an object whose data / items / records holds the list;
-    the first non-empty one counts. Anything else is an error. One file is one payload, so
-    large sources land as many files.
+    the first non-empty one counts. Anything else is an error. A file is one payload, or holds one
+    per line; a file with a payload per line can be cut for reading, so large sources land that way.
     """
-    payload = spark.read.option("multiLine", True)
+    payload = spark.read.option("multiLine", one_per_file)
     if schema is not None:
         wrapped = T.StructType([T.StructField(k, T.ArrayType(schema)) for k in RECORD_KEYS])
         rows = payload.schema(T.StructType(list(wrapped.fields) + list(schema.fields))).json(path)

@@ -372,10 +372,10 @@ JOINED_WHOLE = [*CALENDAR_WHOLE]
 
 
 def final_sql(source: dict[str, str], digits: int = 4, leave: tuple[str, ...] = ()) -> str:
-    numbers = [c for c in NUMBER_AGGREGATES if c not in leave]
+    numbers = [c for c in [*NUMBER_AGGREGATES, "mean_entry_run_len", "mean_type_run_len", *NUMBER_WIDE] if c not in leave]
     filled = [
         *[whole(f"coalesce({c}, 0)", c) for c in [*WHOLE_AGGREGATES, "max_entry_run_len", "max_type_run_len", *WHOLE_WIDE]],
-        *[number(f"coalesce({c}, 0)", c, digits) for c in [*numbers, "mean_entry_run_len", "mean_type_run_len", *NUMBER_WIDE]],
+        *[number(f"coalesce({c}, 0)", c, digits) for c in numbers],
         *[whole(e, c) for c, e in CALENDAR_WHOLE.items()],
         *[number(e, c, digits) for c, e in CALENDAR_NUMBERS.items()],
         *[whole(f"{c} IS NULL", f"{c}_is_missing") for c in MAYBE_MISSING],
@@ -443,8 +443,11 @@ def order_pair(spark, folder):
     return view(spark, folder, ORDER_ALERTS), view(spark, folder, ORDER_TRANSACTIONS)
 
 
-# Sums of squares reach 1e11, where the order of addition shows; they are compared on the other pairing.
-@query("a28_short_groups", final_sql(SHORT, 5, ("size_squared_sum",)), digits=5)
+# These grow so large that the order of addition shows; they are compared on the other pairing.
+LARGE_NUMBERS = ("size_squared_sum", "tx_per_minute_x_abs_sum", "delta_std", "next_delta_std")
+
+
+@query("a28_short_groups", final_sql(SHORT, 5, LARGE_NUMBERS), digits=5)
 def a28_short(spark, folder):
     held, lines = order_pair(spark, folder)
-    return seq.alert_features(held, lines, ORDER_TIE, keep=["AlertID"]).drop("size_squared_sum")
+    return seq.alert_features(held, lines, ORDER_TIE, keep=["AlertID"]).drop(*LARGE_NUMBERS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("tables", "features", "alert_queries")
+MODULES = ("source_queries", "tables", "features", "alert_queries", "evaluation", "model_queries")
 
 
 def load() -> None:
