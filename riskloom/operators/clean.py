@@ -74,12 +74,12 @@ def reproducible_order(df: DataFrame, tie: Sequence[str] = (), candidates: Seque
 
 def clean_applications(df: DataFrame) -> DataFrame:
     """Duplicates, sentinels, categories and flags. Rows get their order where a position is needed."""
-    return (
-        df.transform(drop_duplicate_rows)
-        .transform(sentinel_to_null)
-        .transform(categories_to_text)
-        .transform(flags_to_integer)
-    )
+    return clean_distinct(drop_duplicate_rows(df))
+
+
+def clean_distinct(df: DataFrame) -> DataFrame:
+    """The cleaning of rows that are known to be distinct: no shuffle."""
+    return df.transform(sentinel_to_null).transform(categories_to_text).transform(flags_to_integer)
 
 
 def sorted_for_output(df: DataFrame, tie: Sequence[str] = ()) -> DataFrame:

@@ -40,18 +40,18 @@ def sturges_bins(rows: int) -> int:
 
 @dataclass(frozen=True)
 class ColumnShape:
-    """How a column is compared: by value, or in equal-width bins on the pooled range."""
+    """What is known of a column before counting: its kind, and pooled range and bins for numbers.
+
+    `open` says that a number may have so few values that it is compared value by value.
+    """
 
     name: str
     numeric: bool
+    open: bool = False
     bins: int = 0
     low: float | None = None
     high: float | None = None
 
-    @property
-    def discrete(self) -> bool:
-        return self.bins == 0
-
 
 def _is_number(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.NumericType, T.BooleanType))
@@ -72,11 +72,7 @@ def _pooled(reference: DataFrame, current: DataFrame, columns: Sequence[str]) ->
 
 
 def column_shapes(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> list[ColumnShape]:
-    """Decide per column: two small jobs over the pooled tables.
-
-    The first gives count, range and an estimate of the distinct values; the second counts the
-    values exactly for the columns whose estimate is low.
-    """
+    """Count, range and an estimate of the distinct values per number, in one job over the pooled tables."""
     pooled = _pooled(reference, current, columns)
     numeric = [c for c in columns if _is_number(reference, c) and _is_number(current, c)]
     if not numeric:
@@ -90,22 +86,11 @@ def column_shapes(reference: DataFrame, current: DataFrame, columns: Sequence[st
             F.approx_count_distinct(c).alias(f"d{i}"),
         ]
     seen = pooled.agg(*ask).first()
-    unsure = [c for i, c in enumerate(numeric) if seen[f"d{i}"] <= SURELY_MANY]
-    exact: dict[str, int] = {}
-    if unsure:
-        entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in unsure])
-        values = pooled.select(F.explode(entries).alias("e")).select("e.*").dropna().distinct()
-        exact = {r[0]: r[1] for r in values.groupBy("column").agg(F.count(F.lit(1))).collect()}
-    shapes = []
-    for c in columns:
-        if c not in numeric:
-            shapes.append(ColumnShape(c, False))
-            continue
-        i = numeric.index(c)
-        many = c not in unsure or exact.get(c, 0) > MAX_DISCRETE
-        bins = sturges_bins(seen[f"n{i}"]) if many else 0
-        shapes.append(ColumnShape(c, True, bins, seen[f"lo{i}"], seen[f"hi{i}"]))
-    return shapes
+    shapes = {c: ColumnShape(c, False) for c in columns}
+    for i, c in enumerate(numeric):
+        few = seen[f"d{i}"] <= SURELY_MANY
+        shapes[c] = ColumnShape(c, True, few, sturges_bins(seen[f"n{i}"]), seen[f"lo{i}"], seen[f"hi{i}"])
+    return [shapes[c] for c in columns]
 
 
 def equal_width_bin(value: Column, low: Column | float, high: Column | float, bins: Column | int) -> Column:
@@ -116,26 +101,61 @@ def equal_width_bin(value: Column, low: Column | float, high: Column | float, bi
 
 
 def paired_counts(reference: DataFrame, current: DataFrame, shapes: Sequence[ColumnShape]) -> DataFrame:
-    """Rows per column and label (value or bin) in both tables."""
+    """Rows per column and label (value or bin) in both tables, and the number of bins (0: by value).
+
+    One pass over the rows counts categories and open numbers by value, other numbers by bin. An open
+    number with more than MAX_DISCRETE values is then binned from its value counts.
+    """
     pooled = _pooled(reference, current, [s.name for s in shapes])
     entries = []
     for s in shapes:
         c = F.col(s.name)
-        label = c if s.discrete else equal_width_bin(c, s.low, s.high, s.bins)
+        number = c if s.open else equal_width_bin(c, s.low, s.high, s.bins).cast("double") if s.numeric else F.lit(None)
         entries.append(
-            F.struct(F.lit(s.name).alias("column"), F.when(c.isNotNull(), label.cast("string")).alias("label"))
+            F.struct(
+                F.lit(s.name).alias("column"),
+                (F.lit(None) if s.numeric else c).cast("string").alias("text"),
+                F.when(c.isNotNull(), number).cast("double").alias("number"),
+            )
         )
-    return (
+    counts = (
         pooled.select("_ref", F.explode(F.array(*entries)).alias("e"))
-        .select("_ref", "e.column", "e.label")
-        .where(F.col("label").isNotNull())
-        .groupBy("column", "label")
+        .select("_ref", "e.*")
+        .where(F.col("text").isNotNull() | F.col("number").isNotNull())
+        .groupBy("column", "text", "number")
         .agg(F.sum("_ref").alias("reference_rows"), F.sum(1 - F.col("_ref")).alias("current_rows"))
     )
+    facts = df_of_shapes(reference, shapes)
+    # Per open number: how many values it really has. One row per column.
+    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("_values"))
+    known = counts.join(F.broadcast(facts), "column").join(sizes, "column")
+    by_value = ~F.col("_numeric") | (F.col("_open") & (F.col("_values") <= MAX_DISCRETE))
+    binned = F.when(F.col("_open"), equal_width_bin(F.col("number"), F.col("_low"), F.col("_high"), F.col("_bins")))
+    label = F.when(~F.col("_numeric"), F.col("text")).when(by_value, F.col("number").cast("string"))
+    return (
+        known.select(
+            "column",
+            F.coalesce(label, F.coalesce(binned, F.col("number").cast("int")).cast("string")).alias("label"),
+            F.when(by_value, 0).otherwise(F.col("_bins")).alias("bins"),
+            "reference_rows",
+            "current_rows",
+        )
+        .groupBy("column", "label", "bins")
+        .agg(F.sum("reference_rows").alias("reference_rows"), F.sum("current_rows").alias("current_rows"))
+    )
+
+
+def df_of_shapes(df: DataFrame, shapes: Sequence[ColumnShape]) -> DataFrame:
+    """The shapes as a table, one row per column."""
+    rows = [(s.name, s.numeric, s.open, s.bins, s.low, s.high) for s in shapes]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, _numeric boolean, _open boolean, _bins int, _low double, _high double"
+    )
 
 
 def psi_from_counts(counts: DataFrame, zero_share: float = ZERO_SHARE) -> DataFrame:
     """Stability index per column from paired counts; an empty share counts as `zero_share`."""
+    extra = [c for c in ("bins",) if c in counts.columns]
     totals = counts.groupBy("column").agg(F.sum("reference_rows").alias("_r"), F.sum("current_rows").alias("_c"))
 
     def share(rows: str, total: str) -> Column:
@@ -143,9 +163,11 @@ def psi_from_counts(counts: DataFrame, zero_share: float = ZERO_SHARE) -> DataFr
         return F.when(part == 0, F.lit(zero_share)).otherwise(part)
 
     shares = counts.join(totals, "column").select(
-        "column", share("reference_rows", "_r").alias("r"), share("current_rows", "_c").alias("c")
+        "column", *extra, share("reference_rows", "_r").alias("r"), share("current_rows", "_c").alias("c")
+    )
+    return shares.groupBy("column", *extra).agg(
+        F.sum((F.col("r") - F.col("c")) * F.ln(F.col("r") / F.col("c"))).alias("drift_score")
     )
-    return shares.groupBy("column").agg(F.sum((F.col("r") - F.col("c")) * F.ln(F.col("r") / F.col("c"))).alias("drift_score"))
 
 
 def drift_table(
@@ -160,11 +182,10 @@ def drift_table(
     shapes = column_shapes(reference, current, columns)
     scores = psi_from_counts(paired_counts(reference, current, shapes))
     kinds = F.create_map(*[x for s in shapes for x in (F.lit(s.name), F.lit("num" if s.numeric else "cat"))])
-    bins = F.create_map(*[x for s in shapes for x in (F.lit(s.name), F.lit(s.bins))])
     return scores.select(
         F.col("column").alias("column_name"),
         F.try_element_at(kinds, F.col("column")).alias("column_type"),
-        F.try_element_at(bins, F.col("column")).alias("bins"),
+        "bins",
         "drift_score",
         F.lit(float(threshold)).alias("stattest_threshold"),
         (F.col("drift_score") >= threshold).alias("drift_detected"),

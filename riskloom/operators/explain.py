@@ -128,10 +128,13 @@ def explanation_sample(scored: DataFrame, rows: int = 500, score: str = "predict
     return top_rows(scored, rows, score=score, row_id=row_id)
 
 
-def background_means(encoded: DataFrame, order: Sequence[str], rows: int = BACKGROUND_ROWS, vector: str = "features") -> list[float]:
-    """Mean of the first rows of the encoded table, one number per encoded feature."""
-    first = first_rows(encoded.select(*order, vector), order, rows)
-    return [float(x) for x in first.select(Summarizer.mean(F.col(vector)).alias("m")).first()["m"]]
+def background_means(encoded: DataFrame, vector: str = "features") -> list[float]:
+    """Mean of the encoded background rows, one number per encoded feature."""
+    return [float(x) for x in encoded.select(Summarizer.mean(F.col(vector)).alias("m")).first()["m"]]
+
+
+def background_rows(df: DataFrame, order: Sequence[str], rows: int = BACKGROUND_ROWS) -> DataFrame:
+    return first_rows(df, order, rows)
 
 
 def linear_contributions(vector: Column, coefficients: Sequence[float], means: Sequence[float]) -> Column:
@@ -155,10 +158,12 @@ def folded_factors(contributions: Column, names: Sequence[str], categories: Sequ
             out = out + c[p]
         return out
 
-    bound = F.transform(
-        F.array(contributions), lambda c: F.array(*[factor(F.lit(g), total(c, p)) for g, p in groups.items()])
-    )
-    return _by_size(bound[0])
+    # Binding the array, and then each sum, keeps every value from being worked out more than once.
+    pairs = F.transform(
+        F.array(contributions),
+        lambda c: F.array(*[F.struct(F.lit(g).alias("n"), total(c, p).alias("v")) for g, p in groups.items()]),
+    )[0]
+    return _by_size(F.transform(pairs, lambda f: factor(f["n"], f["v"])))
 
 
 def long_contributions(df: DataFrame, row_id: str, contributions: str, names: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.evaluate import evaluate_scores
-from riskloom.operators.explain import background_means, folded_factors, linear_contributions
+from riskloom.operators.explain import background_means, background_rows, folded_factors, linear_contributions
 from riskloom.operators.ordered import ordered_split
 from riskloom.operators.prep import (
     balanced_weights,
@@ -28,7 +28,7 @@ from riskloom.operators.prep import (
 )
 from riskloom.operators.presets import EVENT_TIME, TARGET
 from riskloom.operators.validate import require_columns
-from riskloom.session import shared_folder
+from riskloom.session import shared_folder, spread
 
 # Candidates: boosted trees with balanced class weights, boosted trees with a positive-class
 # weight, and a linear model whose scores can be explained exactly.
@@ -97,10 +97,14 @@ class ModelBundle:
             raise ValueError("only the linear model has exact additive contributions")
         return self.pipeline.stages[-1]
 
+    def means(self, df: DataFrame, order: Sequence[str]) -> list[float]:
+        """Background means of the first rows; only those rows are encoded."""
+        return background_means(self.encode(background_rows(df.select(*{*order, *self.inputs}), order)))
+
     def explain(self, df: DataFrame, order: Sequence[str], background: DataFrame | None = None) -> DataFrame:
         """Scored rows with their folded factors, against the mean of the first rows of the background."""
+        means = self.means(df if background is None else background, order)
         encoded = self.encode(df)
-        means = background_means(self.encode(background) if background is not None else encoded, order)
         contributions = linear_contributions(F.col("features"), list(self.linear.coefficients), means)
         return encoded.select(
             *df.columns,
@@ -110,9 +114,8 @@ class ModelBundle:
 
     def contributions(self, df: DataFrame, order: Sequence[str], row_id: str, name: str = "contributions") -> DataFrame:
         """Row id and the contribution of every encoded feature, as an array."""
-        encoded = self.encode(df)
-        means = background_means(encoded, order)
-        return encoded.select(
+        means = self.means(df, order)
+        return self.encode(df).select(
             row_id, linear_contributions(F.col("features"), list(self.linear.coefficients), means).alias(name)
         )
 
@@ -170,6 +173,7 @@ def fit(
     shared_folder(train.sparkSession)  # the tree trainer cuts its lineage there
     categorical = [c for c in categorical if c in train.columns]
     numerical = [c for c in numerical if c in train.columns]
+    train = spread(train.select(*numerical, *categorical, target))
     number_fill = {c: v if v is not None else 0.0 for c, v in medians(train, numerical).items()}
     text_fill = most_frequent(train, categorical)
     zero, one = _class_weights(train, kind, target)

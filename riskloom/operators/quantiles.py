@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from riskloom.functions import to_number
 from riskloom.operators.ordered import running_sums
 
-SMALL_VALUES = 4_000_000
+SMALL_VALUES = 300_000  # values of one column that the built-in percentile may hold
+BATCH_VALUES = 4_000_000  # values of all columns of one such job
+PICKED_VALUES = 50_000
+PICKED_BATCH = 64
 SKETCH_ACCURACY = 10_000
 MARGIN = 4.0 / SKETCH_ACCURACY
 
@@ -31,7 +34,7 @@ def exact_quantiles(
     counts = numbers.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(columns))]).first()
     result: dict[str, list[float | None]] = {}
     small = [i for i in range(len(columns)) if counts[i] <= small_values]
-    batch = max(1, small_values // max([counts[i] for i in small] + [1]))
+    batch = max(1, BATCH_VALUES // max([counts[i] for i in small] + [1]))
     for start in range(0, len(small), batch):
         part = small[start : start + batch]
         row = numbers.agg(
@@ -65,21 +68,27 @@ def _select_ranks(
 ) -> dict[tuple[int, int], float]:
     # One interval per column and probability: (low, high, rows below low, rows inside).
     intervals = {(i, p): (-math.inf, math.inf, 0, n) for i, n in counts.items() for p in probabilities}
+    few = min(small_values, PICKED_VALUES)
     for _ in range(3):
-        wide = [k for k, (lo, hi, _, inside) in intervals.items() if inside > small_values and lo < hi]
+        wide = [k for k, (lo, hi, _, inside) in intervals.items() if inside > few and lo < hi]
         if not wide:
             break
         intervals.update(_narrow(numbers, {k: intervals[k] for k in wide}, counts))
     wanted = {(i, p): _ranks(counts[i], p)[:2] for i, p in intervals}
     found: dict[tuple[int, int], float] = {}
-    open_keys = []
-    for k, (lo, hi, _, _) in intervals.items():
+    picked, open_keys = [], []
+    for k, (lo, hi, _, inside) in intervals.items():
         if lo == hi:
             found.update({(k[0], r): lo for r in wanted[k]})
+        elif inside <= few:
+            picked.append(k)
         else:
             open_keys.append(k)
+    for start in range(0, len(picked), PICKED_BATCH):
+        found.update(_pick(numbers, {k: intervals[k] for k in picked[start : start + PICKED_BATCH]}, wanted))
     if not open_keys:
         return found
+    # Many equal values keep an interval wide: rank the distinct values by running counts.
     entries = F.array(
         *[
             F.when(
@@ -108,22 +117,43 @@ def _select_ranks(
     return found
 
 
+def _pick(numbers: DataFrame, intervals: dict, wanted: dict) -> dict[tuple[int, int], float]:
+    """Values at the wanted ranks from short sorted lists; the counts have shown how short they are."""
+    names = list(intervals)
+    lists = []
+    for s, (i, p) in enumerate(names):
+        lo, hi, below, _ = intervals[i, p]
+        inside = F.sort_array(F.collect_list(F.when(F.col(f"v{i}").between(lo, hi), F.col(f"v{i}"))))
+        places = [r - below + 1 for r in wanted[i, p]]
+        lists += [F.element_at(inside, place).alias(f"p{s}_{side}") for side, place in enumerate(places)]
+    row = numbers.agg(*lists).first()
+    return {(i, r): row[f"p{s}_{side}"] for s, (i, p) in enumerate(names) for side, r in enumerate(wanted[i, p])}
+
+
 def _narrow(numbers: DataFrame, intervals: dict, counts: dict[int, int]) -> dict:
     """Tighter intervals, kept only where counting proves that the wanted ranks stay inside."""
     names = list(intervals)
-    sketches = []
-    for s, (i, p) in enumerate(names):
+    # Ranks that share an interval share a sketch.
+    shared: dict[tuple, list] = {}
+    for i, p in names:
         lo, hi, below, inside = intervals[i, p]
         low, high, _ = _ranks(counts[i], p)
         edges = [max(0.0, (low - below) / inside - MARGIN), min(1.0, (high - below + 1) / inside + MARGIN)]
+        shared.setdefault((i, lo, hi), []).append(((i, p), edges))
+    sketches = []
+    for s, ((i, lo, hi), asked) in enumerate(shared.items()):
         value = F.col(f"v{i}")
+        points = [e for _, edges in asked for e in edges]
         sketches.append(
-            F.percentile_approx(F.when(value.between(lo, hi), value), edges, SKETCH_ACCURACY).alias(f"s{s}")
+            F.percentile_approx(F.when(value.between(lo, hi), value), points, SKETCH_ACCURACY).alias(f"s{s}")
         )
-    edges = numbers.agg(*sketches).first()
+    row = numbers.agg(*sketches).first()
+    edges = {
+        key: row[f"s{s}"][2 * n : 2 * n + 2] for s, asked in enumerate(shared.values()) for n, (key, _) in enumerate(asked)
+    }
     checks = []
-    for s, (i, _) in enumerate(names):
-        value, (lo, hi) = F.col(f"v{i}"), edges[s]
+    for s, (i, p) in enumerate(names):
+        value, (lo, hi) = F.col(f"v{i}"), edges[i, p]
         checks += [F.count_if(value < lo).alias(f"b{s}"), F.count_if(value.between(lo, hi)).alias(f"n{s}")]
     proof = numbers.agg(*checks).first()
     better = {}
@@ -131,5 +161,5 @@ def _narrow(numbers: DataFrame, intervals: dict, counts: dict[int, int]) -> dict
         low, high, _ = _ranks(counts[i], p)
         below, inside = proof[f"b{s}"], proof[f"n{s}"]
         if below <= low and high < below + inside:
-            better[i, p] = (edges[s][0], edges[s][1], below, inside)
+            better[i, p] = (*edges[i, p], below, inside)
     return better

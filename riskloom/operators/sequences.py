@@ -115,23 +115,26 @@ def whole_group_context(tx: DataFrame, tie: Sequence[str]) -> DataFrame:
             "next_timestamp": F.lead(TIME).over(w),
             "prev_entry": F.lag("Entry").over(w),
             "prev_type": F.lag("Type").over(w),
-            "prev_sign": F.lag("size_positive").over(w),
+            "prev_size": F.lag("Size").over(w),
             "_group_rows": F.count(F.lit(1)).over(every),
             "_first_time": F.min(TIME).over(every),
-            "_abs_mean": F.avg("size_abs").over(every),
-            "_abs_std": F.stddev_samp("size_abs").over(every),
+            "_abs_mean": F.avg(F.abs("Size")).over(every),
+            "_abs_std": F.stddev_samp(F.abs("Size")).over(every),
         }
     )
 
 
 def row_sequence_features(tx: DataFrame, cuts: SizeCuts) -> DataFrame:
-    """Row features that follow from position, neighbours, group statistics and the global cut-offs."""
+    """Row features that follow from position, neighbours, group statistics and the global cut-offs.
+
+    They come after the windows, so that only the raw columns are shuffled and sorted.
+    """
     order = F.col("tx_order")
     from_end = F.col("_group_rows") - order + 1
     gap = F.coalesce(seconds_between("prev_timestamp", TIME), F.lit(0.0))
     next_gap = F.coalesce(seconds_between(TIME, "next_timestamp"), F.lit(0.0))
     since_start = seconds_between("_first_time", TIME)
-    absolute = F.col("size_abs")
+    absolute = F.abs("Size")
     zscore = (absolute - F.col("_abs_mean")) / (F.coalesce(F.col("_abs_std"), F.lit(0.0)) + F.lit(EPS))
 
     def first(k: int) -> Column:
@@ -146,7 +149,7 @@ def row_sequence_features(tx: DataFrame, cuts: SizeCuts) -> DataFrame:
     def cut(value: float | None) -> Column:
         return F.lit(value).cast("double")
 
-    step = tx.withColumns(
+    step = row_indicators(tx).withColumns(
         {
             "tx_order_desc": from_end,
             "delta_seconds": gap,
@@ -180,7 +183,7 @@ def row_sequence_features(tx: DataFrame, cuts: SizeCuts) -> DataFrame:
             "within_3600s": flag(F.col("seconds_from_start") <= 3600),
             "entry_switch": flag(F.col("Entry") != F.col("prev_entry")),
             "type_switch": flag(F.col("Type") != F.col("prev_type")),
-            "sign_switch": flag(F.col("size_positive") != F.col("prev_sign")),
+            "sign_switch": flag((F.col("Size") > 0) != (F.col("prev_size") > 0)),
             "is_large_abs": flag(absolute > cut(cuts.p95)),
             "is_very_large_abs": flag(absolute > cut(cuts.p99)),
             "is_small_abs": flag(absolute < cut(cuts.p05)),
@@ -302,7 +305,7 @@ def aggregate_alerts(tx: DataFrame) -> DataFrame:
 
 
 def _regular(tx: DataFrame, tie: Sequence[str], cuts: SizeCuts) -> DataFrame:
-    rows = row_sequence_features(whole_group_context(row_indicators(tx), tie), cuts)
+    rows = row_sequence_features(whole_group_context(tx, tie), cuts)
     return aggregate_alerts(_run_starts(rows, [ID], tie))
 
 
@@ -311,7 +314,7 @@ def _cut_context(tx: DataFrame, tie: Sequence[str], groups: DataFrame, ranges: i
     plan = fit_ranges(tx, [ID, TIME, *tie], ranges=ranges)
     placed = tx.withColumn("_range", plan.place())
     position = F.struct(TIME, *tie)
-    seen = F.struct(F.col(TIME).alias("t"), F.col("Entry").alias("e"), F.col("Type").alias("k"), F.col("size_positive").alias("s"))
+    seen = F.struct(F.col(TIME).alias("t"), F.col("Entry").alias("e"), F.col("Type").alias("k"), F.col("Size").alias("s"))
     along = Window.partitionBy(ID).orderBy("_range")
     # One row per large alert and range it touches: at most MAX_RANGES rows plus the large alerts.
     edges = stage_table(
@@ -350,7 +353,7 @@ def _cut_context(tx: DataFrame, tie: Sequence[str], groups: DataFrame, ranges: i
             "next_timestamp": F.coalesce(F.col("_lead"), F.col("_next_time")),
             "prev_entry": before["e"],
             "prev_type": before["k"],
-            "prev_sign": before["s"],
+            "prev_size": before["s"],
         }
     ).drop("_rank", "_lag", "_lead", "_carry", "_before", "_next_time")
 
@@ -381,7 +384,7 @@ def _longest_cut_runs(rows: DataFrame) -> DataFrame:
 
 
 def _cut(tx: DataFrame, tie: Sequence[str], cuts: SizeCuts, groups: DataFrame, ranges: int | None) -> DataFrame:
-    rows = row_sequence_features(_cut_context(row_indicators(tx), tie, groups, ranges), cuts)
+    rows = row_sequence_features(_cut_context(tx, tie, groups, ranges), cuts)
     rows = _run_starts(rows, [ID, "_range"], tie)
     partial = aggregate_alerts(rows).drop("max_entry_run_len", "max_type_run_len")
     return partial.join(_longest_cut_runs(rows), ID)

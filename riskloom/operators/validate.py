@@ -49,12 +49,14 @@ def distinct_with_copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def profile(df: DataFrame, target: str | None = None) -> DataFrame:
+def profile(df: DataFrame, target: str | None = None, copies: DataFrame | None = None) -> DataFrame:
     """One row: rows, duplicate rows, null count per column, and the target values that are not 0/1.
 
     Everything comes from the same grouping of equal rows, so the table is read and shuffled once.
+    `copies` passes that grouping in where it is already at hand.
     """
-    copies = distinct_with_copies(df)
+    if copies is None:
+        copies = distinct_with_copies(df)
     aggregates = [
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
@@ -117,14 +119,18 @@ def require_binary_target(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def full_validation(
-    df: DataFrame, expected: Sequence[str] = tuple(APPLICATION_COLUMNS), target: str = TARGET
+    df: DataFrame,
+    expected: Sequence[str] = tuple(APPLICATION_COLUMNS),
+    target: str = TARGET,
+    *,
+    copies: DataFrame | None = None,
 ) -> ValidationReport:
     """Empty check, schema report and target check in one job; raises when the table cannot be used.
 
     Unexpected columns alone do not make a table invalid.
     """
     absent, extra = missing_columns(df, expected), unexpected_columns(df, expected)
-    row = profile(df, target).first()
+    row = profile(df, target, copies).first()
     if row["row_count"] == 0:
         raise ValidationError("the table is empty")
     if target not in df.columns:

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from riskloom.operators import applications, clean, drift, evaluate, explain, models, results, sequences, transfers
 from riskloom.operators.models import ModelBundle, ModelSettings
 from riskloom.operators.ordered import ordered_split, split_borders
-from riskloom.operators.presets import ALERT_COLUMNS, APPLICATION_COLUMNS, TARGET
+from riskloom.operators.presets import ALERT_COLUMNS, TARGET
 from riskloom.operators.review import with_band
-from riskloom.operators.validate import ValidationReport, full_validation
+from riskloom.operators.validate import ValidationReport, distinct_with_copies, full_validation
 from riskloom.session import stage_table
 from riskloom.sources import files, ledger
 
@@ -33,13 +33,19 @@ class Prepared:
 
 def check_data(raw: DataFrame, out: str | None = None) -> tuple[ValidationReport, DataFrame]:
     """Validate and clean a table, and save the result in its reproducible order."""
-    report = full_validation(raw)
-    cleaned = clean.clean_applications(raw)
+    report, cleaned = validated(raw)
     if out:
         files.write_table(clean.sorted_for_output(cleaned), out)
     return report, cleaned
 
 
+def validated(raw: DataFrame) -> tuple[ValidationReport, DataFrame]:
+    """Report and cleaned rows from one grouping of equal rows, landed so that it runs once."""
+    copies = stage_table(distinct_with_copies(raw), "distinct-rows")
+    report = full_validation(raw, copies=copies)
+    return report, clean.clean_distinct(copies.drop("_copies"))
+
+
 def build_application_features(
     raw: DataFrame,
     tie: Sequence[str] = (),
@@ -50,8 +56,8 @@ def build_application_features(
     partition_by: Sequence[str] = (),
 ) -> Prepared:
     """Validate, clean, derive features and land the table."""
-    full_validation(raw, [*APPLICATION_COLUMNS])
-    build = applications.build_features(clean.clean_applications(raw), tie)
+    _, cleaned = validated(raw)
+    build = applications.build_features(cleaned, tie, stage=False)
     frame, categorical, numerical = build.frame, build.categorical_columns, build.numerical_columns
     if feature_set == "raw":
         frame = frame.select(*raw.columns, "event_id")
@@ -289,8 +295,7 @@ def score_batch(
     Every request row gets a result, equal ones too. No input rows give no output rows.
     """
     started = time.perf_counter()
-    cleaned = requests.transform(clean.sentinel_to_null).transform(clean.categories_to_text).transform(clean.flags_to_integer)
-    build = applications.build_features(cleaned, [row_id])
+    build = applications.build_features(clean.clean_distinct(requests), [row_id], stage=False)
     scored = with_band(bundle.score(build.frame))
     explainer = explainer or (bundle if bundle.kind == models.LINEAR else None)
     shown = [row_id, models.SCORE, models.LABEL, "recommendation"]

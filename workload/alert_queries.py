@@ -283,7 +283,7 @@ def usable(spark, folder):
 
 def rows(spark, folder):
     tx = usable(spark, folder)
-    context = seq.whole_group_context(seq.row_indicators(tx), ["event_id"])
+    context = seq.whole_group_context(tx, ["event_id"])
     return seq.row_sequence_features(context, seq.size_cuts(tx))
 
 
