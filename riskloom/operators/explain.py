@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -146,24 +148,22 @@ def linear_contributions(vector: Column, coefficients: Sequence[float], means: S
     )
 
 
-def folded_factors(contributions: Column, names: Sequence[str], categories: Sequence[str] = tuple(APPLICATION_CATEGORIES)) -> Column:
-    """Contribution array to ranked factors within the row: no shuffle, however many rows."""
-    groups: dict[str, list[int]] = {}
-    for i, n in enumerate(names):
-        groups.setdefault(source_column(n, categories), []).append(i)
-
-    def total(c: Column, places: list[int]) -> Column:
-        out = c[places[0]]
-        for p in places[1:]:
-            out = out + c[p]
-        return out
-
-    # Binding the array, and then each sum, keeps every value from being worked out more than once.
-    pairs = F.transform(
-        F.array(contributions),
-        lambda c: F.array(*[F.struct(F.lit(g).alias("n"), total(c, p).alias("v")) for g, p in groups.items()]),
-    )[0]
-    return _by_size(F.transform(pairs, lambda f: factor(f["n"], f["v"])))
+def folded_factors(
+    parts: Sequence[Column], names: Sequence[str], categories: Sequence[str] = tuple(APPLICATION_CATEGORIES)
+) -> Column:
+    """One contribution per encoded feature to the row's ranked factors: no shuffle, however many rows."""
+    groups: dict[str, list[Column]] = {}
+    for part, name in zip(parts, names, strict=True):
+        groups.setdefault(source_column(name, categories), []).append(part)
+    sums = [F.struct(F.lit(g).alias("n"), reduce(add, members).alias("v")) for g, members in groups.items()]
+    keyed = F.transform(F.array(*sums), lambda f: F.struct((-F.abs(f["v"])).alias("o"), f["n"].alias("n"), f["v"].alias("v")))
+    return F.transform(F.sort_array(keyed), lambda f: factor(f["n"], f["v"]))
+
+
+def linear_parts(values: str, coefficients: Sequence[float], means: Sequence[float]) -> list[Column]:
+    """coefficient * (value - background mean), one column per element of an array column."""
+    x = F.col(values)
+    return [(x[i] - F.lit(float(m))) * F.lit(float(c)) for i, (c, m) in enumerate(zip(coefficients, means, strict=True))]
 
 
 def long_contributions(df: DataFrame, row_id: str, contributions: str, names: Sequence[str]) -> DataFrame:

@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.evaluate import evaluate_scores
-from riskloom.operators.explain import background_means, background_rows, folded_factors, linear_contributions
+from riskloom.operators.explain import (
+    background_means,
+    background_rows,
+    folded_factors,
+    linear_contributions,
+    linear_parts,
+)
 from riskloom.operators.ordered import ordered_split
 from riskloom.operators.prep import (
     balanced_weights,
@@ -28,7 +34,7 @@ from riskloom.operators.prep import (
 )
 from riskloom.operators.presets import EVENT_TIME, TARGET
 from riskloom.operators.validate import require_columns
-from riskloom.session import shared_folder, spread
+from riskloom.session import shared_folder, spread, stage_table
 
 # Candidates: boosted trees with balanced class weights, boosted trees with a positive-class
 # weight, and a linear model whose scores can be explained exactly.
@@ -104,14 +110,16 @@ class ModelBundle:
     def explain(self, df: DataFrame, order: Sequence[str], background: DataFrame | None = None) -> DataFrame:
         """Scored rows with their folded factors, against the mean of the first rows of the background."""
         means = self.means(df if background is None else background, order)
-        encoded = self.encode(df)
-        contributions = linear_contributions(F.col("features"), list(self.linear.coefficients), means)
-        return encoded.select(
-            *df.columns,
-            *[c.alias(n) for n, c in self.score_columns().items()],
-            folded_factors(contributions, self.feature_names).alias("factors"),
+        return self.explained(df, means).select(
+            *df.columns, *[c.alias(n) for n, c in self.score_columns().items()], "factors"
         )
 
+    def explained(self, df: DataFrame, means: Sequence[float]) -> DataFrame:
+        """The encoded rows with their factors against given background means."""
+        encoded = self.encode(df).withColumn("_values", vector_to_array("features"))
+        parts = linear_parts("_values", list(self.linear.coefficients), means)
+        return encoded.withColumn("factors", folded_factors(parts, self.feature_names))
+
     def contributions(self, df: DataFrame, order: Sequence[str], row_id: str, name: str = "contributions") -> DataFrame:
         """Row id and the contribution of every encoded feature, as an array."""
         means = self.means(df, order)
@@ -216,7 +224,9 @@ def scored_view(bundle: ModelBundle, df: DataFrame, row_id: str) -> DataFrame:
 
 
 def metrics_of(bundle: ModelBundle, df: DataFrame, row_id: str) -> dict:
-    row = evaluate_scores(scored_view(bundle, df, row_id), bundle.threshold).first()
+    """Metrics of one part; the scores are landed, as the metrics pass over them several times."""
+    scores = stage_table(scored_view(bundle, df, row_id), "scores")
+    row = evaluate_scores(scores, bundle.threshold).first()
     return row.asDict() if row else {}
 
 

@@ -312,6 +312,7 @@ def score_batch(
             explained.select(*shown, *[parts[n].alias(n) for n in ("top_positive_factors", "top_negative_factors")])
         )
     if log_to:
+        out = stage_table(out, "scored-requests")
         latency = (time.perf_counter() - started) * 1000
         payload = F.struct(F.col(row_id))
         ledger.append_predictions(ledger.prediction_log(out, "batch", bundle.kind, latency, payload), log_to)

@@ -19,6 +19,8 @@ def local_session(app_name: str = "riskloom", cores: str | int = "*", partitions
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column expression costs more than building wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
