@@ -104,8 +104,11 @@ ALERT_COLUMNS = ["AlertID", "Date", "Outcome"]
 ALERT_TRANSACTION_COLUMNS = ["AlertID", "Timestamp", "Entry", "Type", "Size"]
 
 
+_KINDS = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType()}
+
+
 def struct(types: dict[str, str]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in types.items()))
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in types.items()])
 
 
 APPLICATION_SCHEMA = struct(APPLICATION_TYPES)
