@@ -7,7 +7,6 @@ from functools import reduce
 from operator import add
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,9 +129,11 @@ def explanation_sample(scored: DataFrame, rows: int = 500, score: str = "predict
     return top_rows(scored, rows, score=score, row_id=row_id)
 
 
-def background_means(encoded: DataFrame, vector: str = "features") -> list[float]:
-    """Mean of the encoded background rows, one number per encoded feature."""
-    return [float(x) for x in encoded.select(Summarizer.mean(F.col(vector)).alias("m")).first()["m"]]
+def background_means(encoded: DataFrame, width: int, vector: str = "features") -> list[float]:
+    """Mean of the encoded background rows, one number per encoded feature; 0 without rows."""
+    values = encoded.select(vector_to_array(vector).alias("x"))
+    row = values.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(width)]).first()
+    return [0.0 if m is None else float(m) for m in row]
 
 
 def background_rows(df: DataFrame, order: Sequence[str], rows: int = BACKGROUND_ROWS) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import statistics
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,7 +106,8 @@ class ModelBundle:
 
     def means(self, df: DataFrame, order: Sequence[str]) -> list[float]:
         """Background means of the first rows; only those rows are encoded."""
-        return background_means(self.encode(background_rows(df.select(*{*order, *self.inputs}), order)))
+        first = background_rows(df.select(*dict.fromkeys([*order, *self.inputs])), order)
+        return background_means(self.encode(first), len(self.feature_names))
 
     def explain(self, df: DataFrame, order: Sequence[str], background: DataFrame | None = None) -> DataFrame:
         """Scored rows with their folded factors, against the mean of the first rows of the background."""
@@ -192,6 +194,8 @@ def fit(
     )
     stages = encoding_stages([f"{_IN}{c}" for c in numerical], [f"{_IN}{c}" for c in categorical])
     pipeline = Pipeline(stages=[*stages, _classifier(kind, settings, target)]).fit(prepared)
+    if kind == LINEAR:
+        pipeline = _without_summary(pipeline)
     return ModelBundle(
         pipeline=pipeline,
         kind=kind,
@@ -206,6 +210,17 @@ def fit(
     )
 
 
+def _without_summary(pipeline: PipelineModel) -> PipelineModel:
+    """The pipeline with its linear model read back from the shared folder.
+
+    A freshly fitted one carries a training summary that holds the session, and then cannot be
+    sent to tasks once the session has observed a metric.
+    """
+    path = f"{shared_folder(SparkSession.getActiveSession()).rstrip('/')}/linear-{uuid.uuid4().hex}"
+    pipeline.stages[-1].write().save(path)
+    return PipelineModel([*pipeline.stages[:-1], LogisticRegressionModel.load(path)])
+
+
 @dataclass
 class TrainingResult:
     kind: str

@@ -27,7 +27,7 @@ def read_records(
         present = list(RECORD_KEYS)
     else:
         rows = payload.json(path)
-        present = [k for k in RECORD_KEYS if k in rows.columns and isinstance(rows.schema[k].dataType, T.ArrayType)]
+        present = [k for k in RECORD_KEYS if k in rows.columns and _is_record_list(rows.schema[k].dataType)]
     plain = [c for c in rows.columns if c not in RECORD_KEYS]
     if not present:
         if not plain or set(rows.columns) & set(RECORD_KEYS):
@@ -38,6 +38,10 @@ def read_records(
     return nested.select(F.explode(held).alias("r")).select("r.*") if schema is None or not plain else _either(rows, nested, held, schema, present)
 
 
+def _is_record_list(kind: T.DataType) -> bool:
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)
+
+
 def _either(rows: DataFrame, nested: DataFrame, held, schema: T.StructType, present: list[str]) -> DataFrame:
     absent = reduce(lambda a, b: a & b, [F.col(k).isNull() for k in present])
     listed = rows.where(absent).select(*schema.fieldNames())
