@@ -131,7 +131,7 @@ def paired_counts(reference: DataFrame, current: DataFrame, shapes: Sequence[Col
     facts = df_of_shapes(reference, shapes)
     # Per open number: how many values it really has. One row per column.
     sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("_values"))
-    known = counts.join(F.broadcast(facts), "column").join(sizes, "column")
+    known = counts.join(F.broadcast(facts), "column").join(F.broadcast(sizes), "column")
     by_value = ~F.col("_numeric") | (F.col("_open") & (F.col("_values") <= MAX_DISCRETE))
     binned = F.when(F.col("_open"), equal_width_bin(F.col("number"), F.col("_low"), F.col("_high"), F.col("_bins")))
     label = F.when(~F.col("_numeric"), F.col("text")).when(by_value, F.col("number").cast("string"))
@@ -165,7 +165,8 @@ def psi_from_counts(counts: DataFrame, zero_share: float = ZERO_SHARE) -> DataFr
         part = F.coalesce(F.try_divide(F.col(rows).cast("double"), F.col(total).cast("double")), F.lit(0.0))
         return F.when(part == 0, F.lit(zero_share)).otherwise(part)
 
-    shares = counts.join(totals, "column").select(
+    # One row per column: small, and a column with very many values must not meet in one task.
+    shares = counts.join(F.broadcast(totals), "column").select(
         "column", *extra, share("reference_rows", "_r").alias("r"), share("current_rows", "_c").alias("c")
     )
     return shares.groupBy("column", *extra).agg(
@@ -260,7 +261,7 @@ def distribution_summary(
     number = F.when(F.col("low").isNotNull(), F.col("label")).cast("int")
     # The totals have one row per column and side.
     totals = counted.groupBy("_ref", "column").agg(F.sum("rows").alias("total"))
-    return counted.join(totals, ["_ref", "column"]).select(
+    return counted.join(F.broadcast(totals), ["_ref", "column"]).select(
         "column",
         F.when(F.col("_ref") == 1, "reference").otherwise("current").alias("side"),
         "label",

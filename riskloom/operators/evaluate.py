@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import ratio_or_zero
-from riskloom.operators.ordered import running_sums
+from riskloom.operators.ordered import TOP_ROWS, running_sums
 
 # Names and limits of the operating points.
 DEFAULT_THRESHOLD = 0.5
@@ -25,6 +25,7 @@ MODE_FPR_05 = "best_recall_fpr_05_valid"
 TOP_K = (100, 500)
 SMALL_SWEEP = (0.1, 0.2, 0.3, 0.4, 0.5)
 STEPS = 99
+GROUP_LIMIT = 1000  # Spark cuts ranked groups before the shuffle up to this rank
 
 COUNTS = ["tp", "fp", "fn", "tn"]
 
@@ -85,7 +86,13 @@ def ranking_quality(
 def top_rows(
     df: DataFrame, k: int, *, score: str = "score", row_id: str = "row_id", by: Sequence[str] = (), rank: str = "rank"
 ) -> DataFrame:
-    """The k best rows by score (ties by row id) with their rank; each task keeps only its own best k."""
+    """The k best rows by score (ties by row id) with their rank; each task keeps only its own best k.
+
+    Beyond the sizes Spark limits per task, ranks come from running counts over ranges instead.
+    """
+    if k > (GROUP_LIMIT if by else TOP_ROWS):
+        counted = running_sums(df.withColumn("_one", F.lit(1)), [f"-{score}", row_id], {rank: "_one"}, by=by)
+        return counted.drop("_one").filter(F.col(rank) <= k)
     order = [F.col(score).desc(), F.col(row_id).asc()]
     if by:
         ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))

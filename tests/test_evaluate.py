@@ -91,6 +91,15 @@ def test_operating_points(spark):
     assert got == want
 
 
+def test_top_rows_by_running_counts(spark, monkeypatch):
+    df = frame(spark, make(11, 300)).withColumn("g", F.col("row_id") % 3)
+    plain = {k: {(r["row_id"], r["rank"]) for r in ev.top_rows(df, 20, by=k).collect()} for k in ((), ("g",))}
+    monkeypatch.setattr(ev, "GROUP_LIMIT", 5)
+    monkeypatch.setattr(ev, "TOP_ROWS", 5)
+    for by, want in plain.items():
+        assert {(r["row_id"], r["rank"]) for r in ev.top_rows(df, 20, by=by).collect()} == want
+
+
 def test_mode_without_candidate_is_absent(spark):
     rows = [(i, int(i < 2), 1.0) for i in range(10)]
     got = {r["threshold_mode"] for r in ev.operating_points(ev.threshold_sweep(frame(spark, rows))).collect()}
