@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def signed(value: int) -> int:
 def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of the batches whose texts hold about `limit` bytes; one longer text is a part of its own."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).to_pylist() if batch.num_rows else []
+        sizes = pc.binary_length(batch.column(column)).to_pylist() if batch.num_rows else []
         start = total = 0
         for i, size in enumerate(sizes):
             if i > start and total + (size or 0) > limit:

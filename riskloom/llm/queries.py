@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact
+from riskloom.llm import exact, packing, sharding
 from riskloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,21 @@ def oracle_sql() -> dict[str, str]:
 )
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.find_copies(documents(spark, folder))
+
+
+def vocabulary_files() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op5_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), *vocabulary_files())
+
+
+@query("op7_histogram_shards")
+def histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.text_digest(documents(spark, folder))
+    placed = sharding.shard_by_bytes(rows, F.col("size"), F.col("hash"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
