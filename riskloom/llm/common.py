@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+
+
 def text_of(name: str = "text") -> Column:
     """A text column with empty text in place of null."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
@@ -54,3 +59,31 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 <
 def raw(column: pa.Array) -> list[bytes]:
     """The texts of a string column as UTF-8 bytes."""
     return column.cast(pa.binary()).to_pylist()
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers, so that any part of them serves as a hash."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return h ^ (h >> np.uint64(33))
+
+
+class WordTable:
+    """Numbers of words, worked out once for each word and kept for the most recent ones."""
+
+    def __init__(self, width: int, numbers: Callable[[bytes], tuple], room: int = 1 << 18):
+        self.numbers, self.room = numbers, room
+        self.places: dict[bytes, int] = {}
+        self.table = np.zeros((room, width), np.uint64)
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """A row of numbers for each word."""
+        if len(words) > self.room:
+            return np.concatenate([self.of(words[i : i + self.room]) for i in range(0, len(words), self.room)])
+        new = set(words) - self.places.keys()
+        if len(self.places) + len(new) > self.room:
+            self.places.clear()
+            new = set(words)
+        for w in new:
+            at = self.places[w] = len(self.places)
+            self.table[at] = self.numbers(w)
+        return self.table[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))]

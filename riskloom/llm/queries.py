@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, packing, sharding
-from riskloom.llm.common import documents
+from riskloom.llm import exact, mixing, packing, quality, sharding
+from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,29 @@ def histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     rows = sharding.text_digest(documents(spark, folder))
     placed = sharding.shard_by_bytes(rows, F.col("size"), F.col("hash"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: Wanted shares of the domains' tokens.
+MIX = {"plain": 0.90, "junk": 0.04, "toxic": 0.06}
+
+
+def domains(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled table: junk where quality is 0, else toxic where so marked, else plain."""
+    name = F.when(F.col("quality") == 0, "junk").when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "plain")
+    return labels(spark, folder).select("doc_id", name.alias("domain"))
+
+
+@query("op3_soft_mixing")
+def soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    classifier = mixing.fit_domains(docs, domains(spark, folder))
+    rows = mixing.fit_rates(docs, classifier, MIX)
+    return rows.select("doc_id", "n_tokens", *[F.element_at("posteriors", i + 1).alias(f"p_{d}") for i, d in enumerate(classifier.domains)], "rate")
+
+
+@query("op8_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    held_out = quality.in_fold(F.col("doc_id"), 4, 2)
+    model = quality.train(docs.where(~held_out), labels(spark, folder))
+    return quality.with_scores(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
