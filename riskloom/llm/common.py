@@ -79,7 +79,7 @@ class WordTable:
         """A row of numbers for each word."""
         if len(words) > self.room:
             return np.concatenate([self.of(words[i : i + self.room]) for i in range(0, len(words), self.room)])
-        new = set(words) - self.places.keys()
+        new = set(words).difference(self.places)
         if len(self.places) + len(new) > self.room:
             self.places.clear()
             new = set(words)

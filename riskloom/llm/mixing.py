@@ -1,8 +1,8 @@
 """Mixing to target weights when documents belong to domains in part.
 
 A classifier fitted on a table of labelled documents gives every document a probability for each domain: the
-features are its distinct words and word shapes. Those that tell a domain from the rest beyond chance, best
-first and at most a given number, enter a naive Bayes model that counts their absence as well as their
+features are its distinct words, and the signs between them. Those whose presence tells a domain from the rest beyond chance,
+best first and at most a given number, enter a naive Bayes model that counts their absence as well as their
 presence. With n tokens and posteriors p, a
 document taken at rate r adds r n p[k] expected tokens to domain k. Rates within bounds are found by
 projected gradient steps on the squared gaps between expected and wanted tokens of the domains, each gap
@@ -24,48 +24,51 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import UPPER, staged, text_of
 
-FEATURES = 512
-#: Standard errors by which a feature must tell a domain from the rest.
+FEATURES = 128
+#: Standard errors, at least, by which a feature must tell a domain from the rest.
 CHANCE = 4.0
+#: How many times as frequent it must be there.
+RATIO = 4.0
 STEPS = 40
 #: Fixed value: what separates words.
 GAP = "[\\x20\\x09-\\x0D]+"
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text, A-Z in lower case."""
-    return F.filter(F.split(F.translate(text, UPPER, UPPER.lower()), GAP), lambda w: w != "")
+    """The words of a text, A-Z in lower case; an empty one may stand at either end."""
+    return F.split(F.translate(text, UPPER, UPPER.lower()), GAP)
 
 
-def _shapes(text: Column) -> Column:
-    """Distinct word shapes: runs of small letters, capitals and digits become one sign each."""
-    for pattern, sign in (("\\p{Ll}+", "a"), ("\\p{Lu}+", "A"), ("[0-9]+", "9")):
-        text = F.regexp_replace(text, pattern, sign)
-    return F.array_distinct(F.split(text, GAP))
-
-
-def _present(text: Column) -> Column:
-    return F.concat(F.array_distinct(words_of(text)), F.transform(F.filter(_shapes(text), lambda s: s != ""), lambda s: F.concat(F.lit("\n"), s)))
+def signs_of(text: Column) -> Column:
+    """What stands between small letters, digits and white space; a run of capitals is one sign."""
+    return F.split(F.regexp_replace(text, "\\p{Lu}+", "A"), "[\\p{Ll}\\p{N}\\s]+")
 
 
 class DomainClassifier:
     """By domain: its score for a text without features, and what each feature adds."""
 
-    def __init__(self, domains: list[str], base: list[float], weights: dict[str, list[float]]):
+    def __init__(self, domains: list[str], base: list[float], weights: dict[tuple[str, str], list[float]]):
         self.domains, self.base, self.weights = domains, base, weights
 
-    def posteriors(self, text: Column) -> Column:
+    @staticmethod
+    def _adder(names: Column, rows: Column):
+        def add(scores: Column, feature: Column) -> Column:
+            row = F.element_at(rows, F.array_position(names, feature).cast("int"))
+            return F.zip_with(scores, row, lambda a, b: a + b)
+
+        return add
+
+    def posteriors(self, words: Column, signs: Column) -> Column:
         """An array of probabilities in the order of the domains."""
-        start = F.array(*[F.lit(s) for s in self.base])
-        scores = start
-        if self.weights:
-            names = F.array(*[F.lit(f) for f in self.weights])
-            rows = F.array(*[F.array(*[F.lit(x) for x in w]) for w in self.weights.values()])
-            known = F.array_intersect(_present(text), names)
-            scores = F.aggregate(known, start, lambda acc, f: F.zip_with(acc, F.element_at(rows, F.array_position(names, f).cast("int")), lambda a, b: a + b))
-        odds = lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s)))
-        share = lambda o: F.transform(o, lambda x: x / F.aggregate(o, F.lit(0.0), lambda a, b: a + b))
-        return share(odds(scores))
+        scores = F.array(*[F.lit(s) for s in self.base])
+        for kind, met in (("word", words), ("sign", signs)):
+            weights = {f: w for (k, f), w in self.weights.items() if k == kind}
+            if weights:
+                names = F.array(*[F.lit(f) for f in weights])
+                rows = F.array(*[F.array(*[F.lit(x) for x in w]) for w in weights.values()])
+                scores = F.aggregate(F.array_intersect(met, names), scores, self._adder(names, rows))
+        odds = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
+        return F.transform(odds, lambda x: x / F.aggregate(odds, F.lit(0.0), lambda a, b: a + b))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", features: int = FEATURES) -> DomainClassifier:
@@ -77,16 +80,20 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", te
     if not domains:
         return DomainClassifier([], [], {})
     total = sum(sizes.values())
-    counts = rows.select("domain", F.explode(_present(F.col("text"))).alias("feature")).groupBy("feature").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(domains)])
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.array_distinct(a).alias("met")) for k, a in (("word", words_of(F.col("text"))), ("sign", signs_of(F.col("text"))))])
+    met = rows.select("domain", F.explode(kinds).alias("k")).select("domain", "k.kind", F.explode("k.met").alias("feature")).where("feature <> ''")
+    counts = met.groupBy("kind", "feature").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(domains)])
     tells = []
     for i, d in enumerate(domains):
-        here, rest = F.col(f"n{i}") + 0.5, sum((F.col(f"n{j}") for j in range(len(domains)) if j != i), F.lit(0)) + 0.5
-        tells.append(F.abs(F.log(here / F.lit(sizes[d] + 1.0)) - F.log(rest / F.lit(total - sizes[d] + 1.0))) / F.sqrt(1 / here + 1 / rest))
-    best = counts.withColumn("tells", F.array_max(F.array(*tells))).where(F.col("tells") >= CHANCE).orderBy(F.desc("tells"), "feature").limit(features).collect()
+        here, rest = F.col(f"n{i}") / F.lit(float(sizes[d])), sum((F.col(f"n{j}") for j in range(len(domains)) if j != i), F.lit(0)) / F.lit(max(1.0, float(total - sizes[d])))
+        share = sum((F.col(f"n{j}") for j in range(len(domains))), F.lit(0)) / F.lit(float(total))
+        error = F.sqrt(share * (1 - share) * (1 / sizes[d] + 1 / max(1, total - sizes[d])) + 1e-12)
+        tells.append(F.when(here >= RATIO * rest, (here - rest) / error))
+    best = counts.withColumn("tells", F.array_max(F.array(*tells))).where(F.col("tells") >= CHANCE).orderBy(F.desc("tells"), "kind", "feature").limit(features).collect()
     base, weights = [math.log(sizes[d] / total) for d in domains], {}
     for r in best:
         share = [(r[f"n{i}"] + 0.5) / (sizes[d] + 1.0) for i, d in enumerate(domains)]
-        weights[r.feature] = [math.log(s / (1 - s)) for s in share]
+        weights[r.kind, r.feature] = [math.log(s / (1 - s)) for s in share]
         base = [b + math.log(1 - s) for b, s in zip(base, share, strict=True)]
     return DomainClassifier(domains, base, weights)
 
@@ -109,8 +116,9 @@ def fit_rates(
     k = len(classifier.domains)
     given = [c for c in docs.columns if c not in ("n_tokens", "posteriors", "rate")]
     text = text_of(text_col)
-    tokens = F.size(words_of(text)).cast("long")
-    rows = docs.select(*[F.col(f"`{c}`") for c in given], tokens.alias("n_tokens"), (classifier.posteriors(text) if k else F.array().cast("array<double>")).alias("posteriors"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in given], words_of(text).alias("__words"), signs_of(text).alias("__signs"))
+    p = classifier.posteriors(F.col("__words"), F.col("__signs")) if k else F.array().cast("array<double>")
+    rows = rows.select(*[F.col(f"`{c}`") for c in given], F.size(F.array_remove("__words", "")).cast("long").alias("n_tokens"), p.alias("posteriors"))
     rows = staged(rows, "mixing")
     p = [F.element_at("posteriors", i + 1) for i in range(k)]
 
