@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, mixing, packing, quality, sharding
+from riskloom.llm import exact, jaccard, mixing, packing, quality, sharding
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     held_out = quality.in_fold(F.col("doc_id"), 4, 2)
     model = quality.train(docs.where(~held_out), labels(spark, folder))
     return quality.with_scores(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op4_jaccard_join")
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join_similar(documents(spark, folder), width=4, percent=85)
