@@ -1,8 +1,62 @@
-"""Prepares a training corpus from `documents`: each stage reads what the one before wrote."""
+"""Prepares a training corpus from `documents`: each stage reads what the one before wrote.
 
-STAGES = []
+Rows the quality classifier rejects go; of equal texts one stays; of texts that are near copies one stays;
+the domains are brought to their target shares by keeping or leaving out documents of those that have too
+much, while plain documents stay; and what is left is packed into sequences.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskloom.llm import exact, jaccard, mixing, packing, quality
+from riskloom.llm.common import documents, labels, staged
+from riskloom.llm.queries import domains, vocabulary_files
+
+#: Wanted shares of the tokens; plain documents keep theirs.
+MIX = {"plain": 0.96, "junk": 0.01, "toxic": 0.03}
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    model = quality.train(docs, labels(spark, sf_dir))
+    return quality.with_scores(docs, model, score="__score").where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return exact.drop_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of similar texts (five words, 0.8)."""
+    found = jaccard.join_similar(docs, width=5, percent=80)
+    gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents at the rates that bring the domains to their shares; no document is taken twice."""
+    names = ("__n", "__p", "__rate")
+    classifier = mixing.fit_domains(docs, domains(spark, sf_dir))
+    rated = mixing.fit_rates(docs, classifier, MIX, least=0.0, most=1.0, anchor="plain", names=names)
+    return mixing.drawn(rated, names=names).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs, *vocabulary_files())
+
+
+STAGES = [("quality", keep_good), ("exact_copies", drop_copies), ("near_copies", drop_near_copies), ("mix", mix), ("pack", pack)]
+
+#: The classifier, the mixture and the tokenizer have no SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,6 +30,7 @@ CHANCE = 4.0
 #: How many times as frequent it must be there.
 RATIO = 4.0
 STEPS = 40
+NAMES = ("n_tokens", "posteriors", "rate")
 #: Fixed value: what separates words.
 GAP = "[\\x20\\x09-\\x0D]+"
 
@@ -106,24 +107,24 @@ def _moved(rate: Column, p: list[Column], steps: list[list[float]], least: float
 
 
 def fit_rates(
-    docs: DataFrame, classifier: DomainClassifier, weights: dict[str, float], text_col: str = "text", total: float | None = None, least: float = 0.0, most: float = 4.0, tolerance: float = 1e-3, steps: int = STEPS, anchor: str | None = None
+    docs: DataFrame, classifier: DomainClassifier, weights: dict[str, float], text_col: str = "text", total: float | None = None, least: float = 0.0, most: float = 4.0, tolerance: float = 1e-3, steps: int = STEPS, anchor: str | None = None, names: tuple[str, str, str] = NAMES
 ) -> DataFrame:
-    """The rows with `n_tokens`, `posteriors` and `rate`.
+    """The rows with their tokens, posteriors and rate, in columns of the given names.
 
     The weights are the wanted shares of the domains in `total` expected tokens: by default as many as now,
     or, with `anchor`, as many as leave that domain its present tokens.
     """
     k = len(classifier.domains)
-    given = [c for c in docs.columns if c not in ("n_tokens", "posteriors", "rate")]
+    given = [c for c in docs.columns if c not in names]
     text = text_of(text_col)
     rows = docs.select(*[F.col(f"`{c}`") for c in given], words_of(text).alias("__words"), signs_of(text).alias("__signs"))
     p = classifier.posteriors(F.col("__words"), F.col("__signs")) if k else F.array().cast("array<double>")
-    rows = rows.select(*[F.col(f"`{c}`") for c in given], F.size(F.array_remove("__words", "")).cast("long").alias("n_tokens"), p.alias("posteriors"))
+    rows = rows.select(*[F.col(f"`{c}`") for c in given], F.size(F.array_remove("__words", "")).cast("long").alias(names[0]), p.alias(names[1]))
     rows = staged(rows, "mixing")
-    p = [F.element_at("posteriors", i + 1) for i in range(k)]
+    p = [F.element_at(F.col(names[1]), i + 1) for i in range(k)]
 
     def totals(rate: Column) -> list[float]:
-        r = rows.agg(*[F.coalesce(F.sum(rate * F.col("n_tokens") * c), F.lit(0.0)).alias(f"t{i}") for i, c in enumerate(p)]).first()
+        r = rows.agg(*[F.coalesce(F.sum(rate * F.col(names[0]) * c), F.lit(0.0)).alias(f"t{i}") for i, c in enumerate(p)]).first()
         return list(r)
 
     # the first rate is the same for all, so that the first step starts within the bounds
@@ -143,12 +144,12 @@ def fit_rates(
             moves.append(gaps)
             last = size
             have = totals(_moved(F.lit(start), p, moves, least, most))
-    return rows.withColumn("rate", _moved(F.lit(start), p, moves, least, most))
+    return rows.withColumn(names[2], _moved(F.lit(start), p, moves, least, most))
 
 
-def drawn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drawn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str, str] = NAMES) -> DataFrame:
     """Each row as often as its rate says: the whole part, and once more by a coin from a hash of the row."""
     coin = (F.xxhash64(F.col(f"`{id_col}`"), text_of(text_col)).bitwiseAND(F.lit((1 << 52) - 1))) / F.lit(float(1 << 52))
-    copies = F.floor(F.col("rate") + coin).cast("int")
+    copies = F.floor(F.col(names[2]) + coin).cast("int")
     many = rows.withColumn("__copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), F.greatest(copies, F.lit(1)))).otherwise(F.array().cast("array<int>"))))
-    return many.drop("__copy", "rate", "n_tokens", "posteriors")
+    return many.drop("__copy", *names)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, jaccard, mixing, packing, quality, sharding
+from riskloom.llm import exact, fingerprints, jaccard, mixing, packing, quality, sharding
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_jaccard_join")
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join_similar(documents(spark, folder), width=4, percent=85)
+
+
+@query("op6_merkle_fingerprints")
+def merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_edits(documents(spark, folder))
