@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import WordTable, byte_slices, mixed, raw, text_of
+from riskloom.llm.common import WordTable, byte_slices, mixed, raw, staged, text_of
 
 PLACES = 1 << 18
 #: Labelled rows of each class, at most, from which the hinge-loss weights are fitted.
 FIT_ROWS = 4000
 THRESHOLD = 0.7
+#: Up to so many labels (an id and a number each) go to every executor; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 _RUNS = re.compile(rb"[a-z\x80-\xff]+|[A-Z]+|[0-9]+")
 _REPEATED = np.uint64(0x9AE16A3B2F90404F)
@@ -155,7 +157,11 @@ def _fitter(ratio: np.ndarray, shares: tuple[float, float]):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> QualityModel:
     """A model from the labelled rows given; leave held-out rows out before."""
     marks = labels.where(F.col(f"`{label_col}`").isin(0, 1)).groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.max(F.col(f"`{label_col}`")).cast("int").alias("label"))
+    marks = staged(marks, "marks")
+    if marks.count() <= BROADCAST_ROWS:
+        marks = F.broadcast(marks)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).join(marks, "id")
+    rows = staged(rows, "labelled")
     counted = rows.select("text", "label").mapInArrow(_count, "place long, zeros long, ones long").groupBy("place").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     found = counted.toPandas()  # at most one row for each place
     zeros, ones = np.zeros(PLACES), np.zeros(PLACES)
