@@ -9,7 +9,8 @@ the others are expanded to the member classes, and so is each group of several c
 A list is then settled without forming all its pairs: its members are compared with one of them, the leader,
 then with the next leader, and members already in one component need no comparison. After a few rounds lists
 that are still open give all their remaining pairs between components, so no link between components is
-missed. Sizes and positions in the prefix rule pairs out before the texts of the rest are compared.
+missed. Sizes, positions in the prefix and
+small bitmaps of the sets rule pairs out before the texts of the rest are compared.
 
 Defined results: a null text, or one without words, has an empty set, links with nothing and is its own
 component; a null id has no say in a component's smallest id; repeated rows have equal sets; an empty table
@@ -31,7 +32,9 @@ from pyspark.sql import types as T
 from riskloom.llm.common import WordTable, byte_slices, mixed, raw, signed, staged, text_of
 from riskloom.llm.components import components
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
+#: Longs of a set's bitmap, in which every shingle flips one bit.
+BITMAP = 16
 #: Rounds of one leader for each open list, before the pairs that remain are formed.
 ROUNDS = 4
 
@@ -64,24 +67,30 @@ def _sketcher(width: int):
     return count
 
 
-SETS = "id long, n long, h1 long, h2 long, prefix_hash long, prefix array<long>"
+SETS = "id long, n long, h1 long, h2 long, prefix_hash long, prefix array<long>, bits array<long>"
+
+
+def _bitmap(own: np.ndarray) -> np.ndarray:
+    """Bits set where an odd number of shingles falls: two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((own >> np.uint64(40)).astype(np.int64) % (64 * BITMAP), minlength=64 * BITMAP) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _describer(width: int, percent: int, counts: np.ndarray):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
-            rows: list[list] = [[], [], [], [], []]
+            rows: list[list] = [[], [], [], [], [], []]
             for text in raw(batch.column("text")):
                 own = shingles(text, width)
                 n = len(own)
                 ordered = own[np.lexsort((own, counts[(own % np.uint64(BUCKETS)).astype(np.int64)]))]
                 prefix = ordered[: n - -(-n * percent // 100) + 1] if n else ordered
                 whole = xxhash.xxh3_128_intdigest(own.tobytes())
-                values = (n, signed(whole >> 64), signed(whole & (1 << 64) - 1), signed(xxhash.xxh3_64_intdigest(prefix.tobytes())), prefix.view(np.int64))
+                values = (n, signed(whole >> 64), signed(whole & (1 << 64) - 1), signed(xxhash.xxh3_64_intdigest(prefix.tobytes())), prefix.view(np.int64), _bitmap(own))
                 for column, value in zip(rows, values, strict=True):
                     column.append(value)
-            columns = [pa.array(c, pa.int64()) for c in rows[:4]] + [pa.array(rows[4], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "h1", "h2", "prefix_hash", "prefix"])
+            columns = [pa.array(c, pa.int64()) for c in rows[:4]] + [pa.array(c, pa.list_(pa.int64())) for c in rows[4:]]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "h1", "h2", "prefix_hash", "prefix", "bits"])
 
     return describe
 
@@ -134,12 +143,15 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     sets = staged(texts.mapInArrow(_describer(width, percent, counts), SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
     classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("class"), F.min("id").alias("least_id"), F.min("prefix_hash").alias("prefix_hash"))
     classes = staged(classes, "classes")
+    bitmaps = sets.select(F.col("row").alias("class"), "bits")
     lists = _open_lists(sets, classes)
 
     wanted = classes.join(lists.select("class").distinct(), "class", "left_semi").select("h1", "h2", "class", F.col("least_id").alias("id"))
     keyed = texts.withColumn("h", _hasher(width)("text")).select("id", "text", "h.h1", "h.h2")
     bodies = keyed.join(wanted, (keyed.h1 == wanted.h1) & (keyed.h2 == wanted.h2) & keyed.id.eqNullSafe(wanted.id)).select("class", "text")
     bodies = staged(bodies.dropDuplicates(["class"]), "bodies")
+    bitmaps = staged(bitmaps.join(wanted.select("class"), "class"), "bitmaps")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
 
     links = tested = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
@@ -154,7 +166,10 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
             other = open_.select("list", F.col("class").alias("lead"), F.col("n").alias("lead_n"), F.col("place").alias("lead_place"), F.col("label").alias("lead_label"))
             led = open_.drop("lead").join(other, "list").where("class > lead")
         pairs = led.where("class <> lead AND label <> lead_label").where(_may_link(percent)).select(F.col("class").alias("a"), F.col("lead").alias("b"), "n", "lead_n").distinct()
-        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = pairs.join(bitmaps.select(F.col("class").alias("a"), F.col("bits").alias("bits_a")), "a").join(bitmaps.select(F.col("class").alias("b"), F.col("bits").alias("bits_b")), "b")
+        # what two sets share is at most half of their sizes less the bits that differ
+        pairs = staged(pairs.where((100 + percent) * (F.col("n") + F.col("lead_n") - apart) >= 2 * percent * (F.col("n") + F.col("lead_n"))).select("a", "b", "n", "lead_n"), "pairs")
         left = bodies.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
         right = bodies.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
         compared = pairs.join(left, "a").join(right, "b").withColumn("common", _verifier(width)("text_a", "text_b"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, fingerprints, jaccard, mixing, packing, quality, sharding
+from riskloom.llm import exact, fingerprints, jaccard, mixing, packing, pii, quality, sharding
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,12 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_merkle_fingerprints")
 def merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_edits(documents(spark, folder))
+
+
+#: A key for the query alone; a real one comes from a secret store.
+QUERY_KEY = "corpus-query"
+
+
+@query("op1_feistel_pseudonyms")
+def feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, folder).select("doc_id", "text"), QUERY_KEY, count="n_values")
