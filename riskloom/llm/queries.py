@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, fingerprints, jaccard, mixing, packing, pii, quality, sharding
+from riskloom.llm import exact, fingerprints, jaccard, mixing, packing, pii, quality, sharding, suffix
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ QUERY_KEY = "corpus-query"
 @query("op1_feistel_pseudonyms")
 def feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, folder).select("doc_id", "text"), QUERY_KEY, count="n_values")
+
+
+@query("op10_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.remove_repeats(documents(spark, folder)).drop("kept")
