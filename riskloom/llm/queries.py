@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, fingerprints, jaccard, mixing, packing, pii, quality, sharding, suffix
+from riskloom.llm import exact, fingerprints, jaccard, lm, mixing, packing, pii, quality, sharding, suffix
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,11 @@ def feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.remove_repeats(documents(spark, folder)).drop("kept")
+
+
+@query("op2_log_bilinear")
+def log_bilinear(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    language, counts = lm.fit(docs.where(~quality.in_fold(F.col("doc_id"), 5, 1)))
+    scored = lm.score_texts(docs, language, counts)
+    return scored.select("doc_id", quality.in_fold(F.col("doc_id"), 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
