@@ -99,12 +99,16 @@ def _descend(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, cost: flo
     diagonal = np.array([float(v @ v) for v in values]) + 0.5 / cost
     order = np.random.default_rng(seed)
     for _ in range(passes):
+        most = 0.0
         for i in order.permutation(len(rows)):
             slope = y[i] * float(w[rows[i]] @ values[i]) - 1 + alpha[i] * 0.5 / cost
             new = max(0.0, alpha[i] - slope / diagonal[i])
             if new != alpha[i]:
+                most = max(most, abs(new - alpha[i]) * diagonal[i])
                 w[rows[i]] += (new - alpha[i]) * y[i] * values[i]
                 alpha[i] = new
+        if most < 0.01:  # no row's slope calls for a move any more
+            break
     return w
 
 
