@@ -6,12 +6,12 @@ windows share a group, and runs of neighbouring windows of one group travel as o
 
 1. Documents are dealt into buckets. Each bucket sends the group hashes it has, once each, to their owners,
    which answer which ones occur in several documents.
-2. For those, each bucket sends its distinct snippets with the smallest id; equal snippets are united by an
-   aggregate, so copies count once however many there are.
-3. Owners sort the windows of snippets that share a group as suffixes: a mergesort whose comparisons find the
+2. For those, each bucket sends its distinct snippets with their smallest id to the groups' owners, so copies
+   count once in a bucket however many there are.
+3. Owners unite equal snippets and sort the windows of different ones that share a group as suffixes: a mergesort whose comparisons find the
    common extension by binary search over prefix polynomial hashes. Neighbours that seem equal, and the order
-   itself, are verified on the bytes. Equal windows take their smallest id. A group with very many different
-   snippets is first cut into its windows, which are dealt by their own hash.
+   itself, are verified on the bytes. Equal windows take their smallest id. A group with very many snippets
+   is not gathered: it is cut into its windows, and an aggregate over these finds their smallest id.
 4. The buckets read off, for every window of every document, whether that id is smaller than its own.
 
 Defined results: a null text counts as empty; rows with one id do not affect each other; a null id counts as
@@ -21,21 +21,24 @@ larger than all others; an empty table gives an empty result. Other columns are
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.llm.common import mixed, text_of
+from riskloom.llm.common import mixed, signed, text_of
 
 LENGTH = 50
 GRAM = 16
 #: Text bytes in a bucket, about; and windows in a snippet, at most.
 BUCKET_BYTES = 8 << 20
 RUN = 64
-#: Different snippets of one group from which its windows are dealt singly.
+#: Snippets of one group beyond which its windows are dealt singly.
 HOT_SNIPPETS = 20_000
 SLICE = 2 << 20
 LARGEST = (1 << 63) - 1
@@ -241,49 +244,53 @@ class Suffixes:
         return order, np.concatenate(new)
 
 
+def _name(snippet: bytes) -> int:
+    """A snippet's name within its group."""
+    return signed(xxhash.xxh3_64_intdigest(snippet))
+
+
 def _settle(length: int):
-    """For each snippet the smallest id of each of its windows."""
+    """To each bucket, for its snippets, the smallest id of each window (one number if it is the same for all)."""
 
     def settle(table: pa.Table) -> pa.Table:
-        snippets = table.column("snippet").to_pylist()
-        group, lo = table.column("grp").to_numpy(), table.column("lo").to_numpy()
-        windows = np.array([len(s) - length + 1 for s in snippets], np.int64)
-        _, inverse, counts = np.unique(group, return_inverse=True, return_counts=True)
-        least = [None] * len(snippets)
-        mixed_groups = np.flatnonzero(counts[inverse] > 1)
-        for i in np.flatnonzero(counts[inverse] == 1):
-            least[i] = [int(lo[i])] * int(windows[i])
-        if len(mixed_groups):
-            sizes = windows[mixed_groups] + length - 1
-            starts = np.cumsum(sizes) - sizes
-            n = windows[mixed_groups]
-            at = np.repeat(starts, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            suffixes = Suffixes(np.frombuffer(b"".join(snippets[i] for i in mixed_groups), np.uint8), at, length)
+        keys = list(zip(table.column("grp").to_pylist(), table.column("snippet").to_pylist(), strict=True))
+        united: dict[tuple[int, bytes], int] = {}
+        for key, lo in zip(keys, table.column("lo").to_pylist(), strict=True):
+            united[key] = min(lo, united.get(key, lo))
+        met = Counter(g for g, _ in united)
+        least = {key: [lo] for key, lo in united.items()}
+        mixed_keys = [key for key in united if met[key[0]] > 1]
+        if mixed_keys:
+            n = np.array([len(s) - length + 1 for _, s in mixed_keys], np.int64)
+            sizes = n + length - 1
+            at = np.repeat(np.cumsum(sizes) - sizes, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            suffixes = Suffixes(np.frombuffer(b"".join(s for _, s in mixed_keys), np.uint8), at, length)
             order, new = suffixes.classes()
-            own = np.repeat(lo[mixed_groups], n)[order]
-            small = np.minimum.reduceat(own, np.flatnonzero(new))
+            own = np.repeat(np.array([united[key] for key in mixed_keys], np.int64), n)[order]
             out = np.empty(len(order), np.int64)
-            out[order] = small[np.cumsum(new) - 1]
-            for i, part in zip(mixed_groups, np.split(out, np.cumsum(n)[:-1]), strict=True):
-                least[i] = part.tolist()
-        return pa.table({"grp": table.column("grp"), "snippet": table.column("snippet"), "least": pa.array(least, pa.list_(pa.int64()))})
+            out[order] = np.minimum.reduceat(own, np.flatnonzero(new))[np.cumsum(new) - 1]
+            for key, part in zip(mixed_keys, np.split(out, np.cumsum(n)[:-1]), strict=True):
+                least[key] = part.tolist() if (part != part[0]).any() else [int(part[0])]
+        rows = [(b, key[0], _name(key[1]), least[key]) for key, b, hi in zip(keys, table.column("bucket").to_pylist(), table.column("hi").to_pylist(), strict=True) if min(least[key]) < hi]
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "grp", "name", "least"])
 
     return settle
 
 
 def _remove(length: int):
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        known = {(g, s): np.array(m, np.int64) for g, s, m in zip(*(answers.column(c).to_pylist() for c in ("grp", "snippet", "least")), strict=True)}
+        known = {(g, s): np.array(m, np.int64) for g, s, m in zip(*(answers.column(c).to_pylist() for c in ("grp", "name", "least")), strict=True)}
         shared = np.unique(answers.column("grp").to_numpy()).view(np.uint64) if answers.num_rows else np.zeros(0, np.uint64)
         rows = []
         for ids, texts in _slices(table):
             order, sizes = _order(ids), [len(t) for t in texts]
             starts = np.cumsum(sizes) - sizes
             cover = np.zeros(sum(sizes) + 1, np.int32)
-            for s, _, g, t, snippet in _shared_runs(ids, texts, shared, length):
-                least = known.get((g, snippet))
+            for s, n, g, t, snippet in _shared_runs(ids, texts, shared, length):
+                least = known.get((g, _name(snippet)))
                 if least is not None:
-                    hit = s + np.flatnonzero(least < order[t])
+                    hit = s + np.flatnonzero(np.broadcast_to(least, n) < order[t])
                     cover[hit] += 1
                     cover[hit + length] -= 1
             gone = np.cumsum(cover)[:-1] > 0
@@ -311,20 +318,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     answers = announced.groupBy("part").applyInArrow(_answer, "bucket int, hashes binary")
     found = by_bucket.cogroup(answers.groupBy("bucket")).applyInArrow(_snippets(length), "bucket int, grp long, snippet binary, lo long, hi long")
 
-    distinct = found.groupBy("grp", "snippet").agg(F.min("lo").alias("lo"))
-    hot = distinct.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > HOT_SNIPPETS).select("grp")
-    plain = distinct.join(hot, "grp", "left_anti")
-    single = distinct.join(hot, "grp", "left_semi").select("grp", "snippet", "lo", F.explode(F.sequence(F.lit(1), F.octet_length("snippet") - (length - 1))).alias("at"))
-    single = single.select("grp", "snippet", "lo", "at", F.substring(F.col("snippet"), F.col("at"), F.lit(length)).alias("window"))
-    windows = single.groupBy(F.xxhash64("window").alias("grp"), F.col("window").alias("snippet")).agg(F.min("lo").alias("lo"))
-    marked = plain.withColumn("hot", F.lit(False)).unionAll(windows.withColumn("hot", F.lit(True)))
-
-    def settled(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(F.pmod(F.xxhash64("grp"), F.lit(buckets)).alias("owner")).applyInArrow(_settle(length), "grp long, snippet binary, least array<long>")
-
-    least = settled(marked.where("NOT hot").drop("hot"))
-    by_window = settled(marked.where("hot").drop("hot")).select(F.col("snippet").alias("window"), F.col("least")[0].alias("one"))
-    of_hot = single.join(by_window, "window").groupBy("grp", "snippet").agg(F.sort_array(F.collect_list(F.struct("at", "one"))).alias("w"))
-    least = least.unionAll(of_hot.select("grp", "snippet", F.col("w.one").alias("least")))
-    back = found.join(least, ["grp", "snippet"]).where(F.array_min("least") < F.col("hi")).select("bucket", "grp", "snippet", "least")
+    reply = "bucket int, grp long, name long, least array<long>"
+    hot = found.groupBy("grp").agg(F.count("*").alias("rows")).where(F.col("rows") > HOT_SNIPPETS).select("grp")
+    owner = F.pmod(F.xxhash64("grp"), F.lit(buckets)).alias("owner")
+    back = found.join(hot, "grp", "left_anti").groupBy(owner).applyInArrow(_settle(length), reply)
+
+    name = F.pandas_udf(lambda snippets: snippets.map(lambda x: _name(bytes(x))), T.LongType())
+    single = found.join(hot, "grp", "left_semi").withColumn("name", name("snippet"))
+    single = single.withColumn("at", F.explode(F.sequence(F.lit(1), F.octet_length("snippet") - (length - 1))))
+    single = single.select("bucket", "grp", "name", "lo", "hi", "at", F.substring(F.col("snippet"), F.col("at"), F.lit(length)).alias("window"))
+    by_window = single.groupBy("window").agg(F.min("lo").alias("one"))
+    of_hot = single.join(by_window, "window").groupBy("bucket", "grp", "name").agg(F.sort_array(F.collect_list(F.struct("at", "one"))).alias("w"), F.first("hi").alias("hi"))
+    of_hot = of_hot.select("bucket", "grp", "name", F.col("w.one").alias("least"), "hi").where(F.array_min("least") < F.col("hi")).drop("hi")
+    back = back.unionAll(of_hot)
     return by_bucket.cogroup(back.groupBy("bucket")).applyInArrow(_remove(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
