@@ -5,13 +5,13 @@ with a smaller id. Windows are grouped by the smallest hash of the 16-byte strin
 windows share a group, and runs of neighbouring windows of one group travel as one snippet.
 
 1. Documents are dealt into buckets. Each bucket sends the group hashes it has, once each, to their owners,
-   which answer which ones occur in several documents.
+   which answer which ones occur in several documents, and which in very many.
 2. For those, each bucket sends its distinct snippets with their smallest id to the groups' owners, so copies
    count once in a bucket however many there are.
 3. Owners unite equal snippets and sort the windows of different ones that share a group as suffixes: a mergesort whose comparisons find the
    common extension by binary search over prefix polynomial hashes. Neighbours that seem equal, and the order
-   itself, are verified on the bytes. Equal windows take their smallest id. A group with very many snippets
-   is not gathered: it is cut into its windows, and an aggregate over these finds their smallest id.
+   itself, are verified on the bytes. Equal windows take their smallest id. A group of very many
+   documents is not gathered: its windows are dealt singly, by their own hash.
 4. The buckets read off, for every window of every document, whether that id is smaller than its own.
 
 Defined results: a null text counts as empty; rows with one id do not affect each other; a null id counts as
@@ -29,7 +29,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom.llm.common import mixed, signed, text_of
 
@@ -38,7 +37,7 @@ GRAM = 16
 #: Text bytes in a bucket, about; and windows in a snippet, at most.
 BUCKET_BYTES = 8 << 20
 RUN = 64
-#: Snippets of one group beyond which its windows are dealt singly.
+#: Documents of one group beyond which its windows are dealt singly.
 HOT_SNIPPETS = 20_000
 SLICE = 2 << 20
 LARGEST = (1 << 63) - 1
@@ -103,7 +102,7 @@ def _order(ids: list) -> np.ndarray:
 
 
 def _announce(parts: int, length: int):
-    """Group hashes of a bucket, by owner: those of one document, and those of several."""
+    """Group hashes of a bucket with the number of its documents that have them, by owner."""
 
     def announce(table: pa.Table) -> pa.Table:
         found = []
@@ -111,30 +110,38 @@ def _announce(parts: int, length: int):
             _, _, _, group, text = runs(texts, length)
             found.append((group, _order(ids)[text]))
         group, owner = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(group, kind="stable")
+        order = np.lexsort((owner, group))
         group, owner = group[order], owner[order]
-        first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
-        several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first) if len(first) else np.zeros(0, bool)
+        new = np.append(True, group[1:] != group[:-1])[: len(group)]
+        another = new | np.append(True, owner[1:] != owner[:-1])[: len(group)]
+        first = np.flatnonzero(new)
+        docs = np.minimum(np.add.reduceat(another.astype(np.int64), first), 65535).astype(np.uint16) if len(first) else np.zeros(0, np.uint16)
         group = group[first]
         part = (group % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        part, group, several = part[order], group[order], several[order]
-        start = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
-        rows = [(int(part[a]), group[a:b][~several[a:b]].tobytes(), group[a:b][several[a:b]].tobytes()) for a, b in zip(start, np.append(start[1:], len(part)), strict=True)]
+        part, group, docs = part[order], group[order], docs[order]
+        start = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        rows = [(int(part[a]), group[a:b].tobytes(), docs[a:b].tobytes()) for a, b in zip(start, np.append(start[1:], len(part)), strict=True)]
         bucket = table.column("bucket")[0].as_py()
-        return pa.table({"bucket": pa.array([bucket] * len(rows), pa.int32()), "part": pa.array([r[0] for r in rows], pa.int32()), "once": pa.array([r[1] for r in rows], pa.binary()), "several": pa.array([r[2] for r in rows], pa.binary())})
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array([bucket] * len(rows), pa.int32()), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=["bucket", "part", "hashes", "docs"])
 
     return announce
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """To each bucket, which of its hashes occur in several documents."""
-    once = [np.frombuffer(b, np.uint64) for b in table.column("once").to_pylist()]
-    several = [np.frombuffer(b, np.uint64) for b in table.column("several").to_pylist()]
-    values, counts = np.unique(np.concatenate([*once, *several, *several]), return_counts=True)
-    shared = values[counts > 1]
-    out = [np.concatenate([a[np.isin(a, shared)], b]).tobytes() for a, b in zip(once, several, strict=True)]
-    return pa.table({"bucket": table.column("bucket"), "hashes": pa.array(out, pa.binary())})
+def _answer(limit: int):
+    """To each bucket, which of its hashes occur in several documents, and which in very many."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(b, np.uint64) for b in table.column("hashes").to_pylist()]
+        docs = np.concatenate([np.frombuffer(b, np.uint16) for b in table.column("docs").to_pylist()])
+        values, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+        total = np.bincount(inverse, docs, len(values))
+        shared, hot = values[total > 1], values[total > limit]
+        kept = [h[np.isin(h, shared)] for h in hashes]
+        return pa.table({"bucket": table.column("bucket"), "hashes": pa.array([h.tobytes() for h in kept], pa.binary()), "hot": pa.array([h[np.isin(h, hot)].tobytes() for h in kept], pa.binary())})
+
+    return answer
 
 
 def _shared_runs(ids: list, texts: list[bytes], shared: np.ndarray, length: int):
@@ -145,23 +152,32 @@ def _shared_runs(ids: list, texts: list[bytes], shared: np.ndarray, length: int)
         yield s, n, g, t, raw[s : s + n + length - 1]
 
 
-def _shared(answers: pa.Table) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(b, np.uint64) for b in answers.column("hashes").to_pylist()]])
+def _joined(blobs: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs.to_pylist()), np.uint64)
+
+
+def _name(snippet: bytes) -> int:
+    """A snippet's name within its group; a window dealt singly has its name as its group."""
+    return signed(xxhash.xxh3_64_intdigest(snippet))
 
 
 def _snippets(length: int):
+    """(bucket, hash, group, snippet, smallest and largest id) of a bucket's distinct snippets."""
+
     def collect(table: pa.Table, answers: pa.Table) -> pa.Table:
-        shared, met = _shared(answers), {}
+        shared, met = _joined(answers.column("hashes")), {}
+        hot = set(_joined(answers.column("hot")).view(np.int64).tolist())
         for ids, texts in _slices(table):
             order = _order(ids)
-            for _, _, g, t, snippet in _shared_runs(ids, texts, shared, length):
+            for _, n, g, t, snippet in _shared_runs(ids, texts, shared, length):
                 i = int(order[t])
-                lo, hi = met.get((g, snippet), (i, i))
-                met[g, snippet] = (min(lo, i), max(hi, i))
+                for part in [snippet[j : j + length] for j in range(n)] if g in hot else [snippet]:
+                    lo, hi = met.get((g, part), (i, i))
+                    met[g, part] = (min(lo, i), max(hi, i))
         bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
-        keys = list(met)
-        columns = [pa.array([bucket] * len(keys), pa.int32()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()), pa.array([met[k][0] for k in keys], pa.int64()), pa.array([met[k][1] for k in keys], pa.int64())]
-        return pa.table(columns, names=["bucket", "grp", "snippet", "lo", "hi"])
+        rows = [(bucket, g, _name(part) if g in hot else g, part, lo, hi) for (g, part), (lo, hi) in met.items()]
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "home", "grp", "snippet", "lo", "hi"])
 
     return collect
 
@@ -244,11 +260,6 @@ class Suffixes:
         return order, np.concatenate(new)
 
 
-def _name(snippet: bytes) -> int:
-    """A snippet's name within its group."""
-    return signed(xxhash.xxh3_64_intdigest(snippet))
-
-
 def _settle(length: int):
     """To each bucket, for its snippets, the smallest id of each window (one number if it is the same for all)."""
 
@@ -271,9 +282,10 @@ def _settle(length: int):
             out[order] = np.minimum.reduceat(own, np.flatnonzero(new))[np.cumsum(new) - 1]
             for key, part in zip(mixed_keys, np.split(out, np.cumsum(n)[:-1]), strict=True):
                 least[key] = part.tolist() if (part != part[0]).any() else [int(part[0])]
-        rows = [(b, key[0], _name(key[1]), least[key]) for key, b, hi in zip(keys, table.column("bucket").to_pylist(), table.column("hi").to_pylist(), strict=True) if min(least[key]) < hi]
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "grp", "name", "least"])
+        others = (table.column(c).to_pylist() for c in ("bucket", "home", "hi"))
+        rows = [(b, home, key[0], _name(key[1]), least[key]) for key, b, home, hi in zip(keys, *others, strict=True) if min(least[key]) < hi]
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "home", "grp", "name", "least"])
 
     return settle
 
@@ -281,14 +293,19 @@ def _settle(length: int):
 def _remove(length: int):
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         known = {(g, s): np.array(m, np.int64) for g, s, m in zip(*(answers.column(c).to_pylist() for c in ("grp", "name", "least")), strict=True)}
-        shared = np.unique(answers.column("grp").to_numpy()).view(np.uint64) if answers.num_rows else np.zeros(0, np.uint64)
+        home, group = (answers.column(c).to_numpy() if answers.num_rows else np.zeros(0, np.int64) for c in ("home", "grp"))
+        shared, hot = np.unique(home).view(np.uint64), set(home[home != group].tolist())
         rows = []
         for ids, texts in _slices(table):
             order, sizes = _order(ids), [len(t) for t in texts]
             starts = np.cumsum(sizes) - sizes
             cover = np.zeros(sum(sizes) + 1, np.int32)
             for s, n, g, t, snippet in _shared_runs(ids, texts, shared, length):
-                least = known.get((g, _name(snippet)))
+                if g in hot:
+                    names = [_name(snippet[j : j + length]) for j in range(n)]
+                    least = np.array([known.get((x, x), [LARGEST])[0] for x in names], np.int64)
+                else:
+                    least = known.get((g, _name(snippet)))
                 if least is not None:
                     hit = s + np.flatnonzero(np.broadcast_to(least, n) < order[t])
                     cover[hit] += 1
@@ -314,21 +331,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = texts.withColumn("bucket", F.pmod(F.xxhash64("id", F.crc32("text")), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
     by_bucket = dealt.groupBy("bucket")
 
-    announced = by_bucket.applyInArrow(_announce(min(buckets, 1024), length), "bucket int, part int, once binary, several binary")
-    answers = announced.groupBy("part").applyInArrow(_answer, "bucket int, hashes binary")
-    found = by_bucket.cogroup(answers.groupBy("bucket")).applyInArrow(_snippets(length), "bucket int, grp long, snippet binary, lo long, hi long")
-
-    reply = "bucket int, grp long, name long, least array<long>"
-    hot = found.groupBy("grp").agg(F.count("*").alias("rows")).where(F.col("rows") > HOT_SNIPPETS).select("grp")
+    # one plan, so that the texts are exchanged once for all three
+    announced = by_bucket.applyInArrow(_announce(min(buckets, 1024), length), "bucket int, part int, hashes binary, docs binary")
+    answers = announced.groupBy("part").applyInArrow(_answer(HOT_SNIPPETS), "bucket int, hashes binary, hot binary")
+    found = by_bucket.cogroup(answers.groupBy("bucket")).applyInArrow(_snippets(length), "bucket int, home long, grp long, snippet binary, lo long, hi long")
     owner = F.pmod(F.xxhash64("grp"), F.lit(buckets)).alias("owner")
-    back = found.join(hot, "grp", "left_anti").groupBy(owner).applyInArrow(_settle(length), reply)
-
-    name = F.pandas_udf(lambda snippets: snippets.map(lambda x: _name(bytes(x))), T.LongType())
-    single = found.join(hot, "grp", "left_semi").withColumn("name", name("snippet"))
-    single = single.withColumn("at", F.explode(F.sequence(F.lit(1), F.octet_length("snippet") - (length - 1))))
-    single = single.select("bucket", "grp", "name", "lo", "hi", "at", F.substring(F.col("snippet"), F.col("at"), F.lit(length)).alias("window"))
-    by_window = single.groupBy("window").agg(F.min("lo").alias("one"))
-    of_hot = single.join(by_window, "window").groupBy("bucket", "grp", "name").agg(F.sort_array(F.collect_list(F.struct("at", "one"))).alias("w"), F.first("hi").alias("hi"))
-    of_hot = of_hot.select("bucket", "grp", "name", F.col("w.one").alias("least"), "hi").where(F.array_min("least") < F.col("hi")).drop("hi")
-    back = back.unionAll(of_hot)
+    back = found.groupBy(owner).applyInArrow(_settle(length), "bucket int, home long, grp long, name long, least array<long>")
     return by_bucket.cogroup(back.groupBy("bucket")).applyInArrow(_remove(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
