@@ -183,10 +183,11 @@ def _snippets(length: int):
 
 
 class Suffixes:
-    """Suffixes of a byte string, compared on their first `length` bytes by prefix polynomial hashes."""
+    """Suffixes of a byte string, in groups, compared on their first `length` bytes by prefix polynomial hashes."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, length: int):
+    def __init__(self, data: np.ndarray, at: np.ndarray, length: int, group: np.ndarray | None = None):
         self.data, self.at, self.length = data, at, length
+        self.group = np.zeros(len(at), np.int64) if group is None else group
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         powers = np.cumprod(np.append(np.uint64(1), np.full(len(data), _BASE)), dtype=np.uint64)
         self.back = np.cumprod(np.append(np.uint64(1), np.full(len(data), inverse)), dtype=np.uint64)
@@ -206,7 +207,13 @@ class Suffixes:
         return lo
 
     def compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """-1, 0 or 1."""
+        """-1, 0 or 1; groups first."""
+        out = np.sign(self.group[a] - self.group[b])
+        same = np.flatnonzero(out == 0)
+        out[same] = self._compare(a[same], b[same])
+        return out
+
+    def _compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         n = self.common(a, b)
         inside = np.minimum(n, self.length - 1)
         x, y = self.data[self.at[a] + inside].astype(np.int64), self.data[self.at[b] + inside].astype(np.int64)
@@ -215,7 +222,7 @@ class Suffixes:
     def sorted(self) -> np.ndarray:
         """Mergesort, all pairs of runs of one width at once: ranks in the other run by binary search."""
         n, width = len(self.at), 1
-        order = np.arange(n)
+        order = np.argsort(self.group, kind="stable")
         place = np.arange(n)
         while width < n:
             pair = place // (2 * width) * (2 * width)
@@ -223,6 +230,10 @@ class Suffixes:
             lo = np.minimum(np.where(left, pair + width, pair), n)
             hi = np.minimum(np.where(left, pair + 2 * width, pair + width), n)
             base = lo.copy()
+            # the runs follow each other by group, so only the group at their seam needs a search
+            own, seam = self.group[order], np.minimum(pair + width, n - 1)
+            hi = np.where(left & (own < self.group[order[seam]]), lo, hi)
+            lo = np.where(~left & (own > self.group[order[np.maximum(seam - 1, 0)]]), hi, lo)
             while True:
                 todo = np.flatnonzero(lo < hi)
                 if not len(todo):
@@ -251,7 +262,8 @@ class Suffixes:
             at = differ.argmax(axis=1)
             rows = np.arange(len(at))
             new.append(differ.any(axis=1))
-            good &= bool((~new[-1] | (a[rows, at] < b[rows, at])).all())
+            apart = self.group[order[i - 1 : stop - 1]] != self.group[order[i:stop]]
+            good &= bool((~new[-1] | apart | (a[rows, at] < b[rows, at])).all())
         if not good:  # a collision misled the order
             keys = np.ascontiguousarray(self.bytes_at(np.arange(len(self.at)))).view(f"V{self.length}")[:, 0]
             _, inverse = np.unique(np.array([bytes(k) for k in keys], dtype=object), return_inverse=True)
@@ -275,7 +287,8 @@ def _settle(length: int):
             n = np.array([len(s) - length + 1 for _, s in mixed_keys], np.int64)
             sizes = n + length - 1
             at = np.repeat(np.cumsum(sizes) - sizes, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            suffixes = Suffixes(np.frombuffer(b"".join(s for _, s in mixed_keys), np.uint8), at, length)
+            _, group = np.unique(np.array([g for g, _ in mixed_keys], np.int64), return_inverse=True)
+            suffixes = Suffixes(np.frombuffer(b"".join(s for _, s in mixed_keys), np.uint8), at, length, np.repeat(group, n))
             order, new = suffixes.classes()
             own = np.repeat(np.array([united[key] for key in mixed_keys], np.int64), n)[order]
             out = np.empty(len(order), np.int64)
