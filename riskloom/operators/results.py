@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import to_number
@@ -128,14 +128,20 @@ def scenario_rank(order: dict[str, int] | None = None):
     return F.coalesce(F.try_element_at(ranks, F.col("scenario")), F.lit(99))
 
 
+def _tie(df: DataFrame) -> list[Column]:
+    """The last key of an order, so that equal metrics come in one order."""
+    return [F.col("job_id")] if "job_id" in df.columns else []
+
+
 def sort_by_scenario_rank(df: DataFrame, order: dict[str, int] | None = None) -> DataFrame:
-    return df.orderBy(scenario_rank(order), F.col("pr_auc").desc_nulls_last(), F.col("roc_auc").desc_nulls_last())
+    return df.orderBy(scenario_rank(order), F.col("pr_auc").desc_nulls_last(), F.col("roc_auc").desc_nulls_last(), *_tie(df))
 
 
 def sort_by_scenario_name(df: DataFrame) -> DataFrame:
     return df.orderBy(
         F.col("scenario"),
         *[F.col(c).desc_nulls_last() for c in ("pr_auc", "f1_score", "precision_at_100")],
+        *_tie(df),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,14 @@ def normalise_missing(df: DataFrame, texts: bool = True) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
+def _typed_csv(reader: DataFrameReader, path: str, schema: T.StructType | str) -> DataFrame:
+    wanted = {f.name: f for f in (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
+    header = reader.csv(path).columns
+    typed = T.StructType([wanted.get(name, T.StructField(name, T.StringType())) for name in header])
+    order = [name for name in wanted if name in header] + [name for name in header if name not in wanted]
+    return reader.option("enforceSchema", False).schema(typed).csv(path).select(*[F.col(f"`{name}`") for name in order])
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -71,7 +79,11 @@ def read_table(
     order: Sequence[str] = (),
     **options: str,
 ) -> DataFrame:
-    """Read a file or folder. With a schema a CSV is read in one pass; without, types are inferred.
+    """Read a file or folder. Without a schema the types of a CSV are inferred.
+
+    A schema gives types to the columns of a CSV by the names in its header: columns the file lacks are left
+    out, so that validation can see it, and those it has besides come last, as text. All files of a folder
+    must have one header. Quotes in quoted texts are doubled; lines broken within quotes need `multiLine`.
 
     `nrows` keeps the first rows; give `order` to say what first means, else any rows in file order count.
     """
@@ -80,9 +92,8 @@ def read_table(
         raise FileNotFoundError(f"file not found: {path}")
     reader = spark.read.options(**options)
     if kind == "csv":
-        reader = reader.option("header", True)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-        df = normalise_missing(reader.csv(path))
+        reader = spark.read.options(**{"header": True, "quote": '"', "escape": '"'} | options)
+        df = normalise_missing(_typed_csv(reader, path, schema) if schema is not None else reader.option("inferSchema", True).csv(path))
     else:
         df = normalise_missing((reader.schema(schema) if schema is not None else reader).parquet(path), texts=False)
     if nrows and int(nrows) > 0:
@@ -99,7 +110,7 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if kind == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**{"header": True, "quote": '"', "escape": '"'} | options).csv(path)
     else:
         writer.parquet(path)
     return path

@@ -26,7 +26,7 @@ def test_csv_round_trip_and_missing_texts(spark, folder, applications):
     df = applications(20)
     path = files.write_table(df, f"{folder}/deep/apps.csv")
     assert files.read_table(spark, path, schema=APPLICATION_SCHEMA).exceptAll(df).isEmpty()
-    (spark.createDataFrame([("1,NaN,NA",), ("2,3.5,x",)], "value string").coalesce(1).write.text(f"{folder}/raw.csv"))
+    (spark.createDataFrame([("a,b,c",), ("2,3.5,x",)], "value string").coalesce(1).write.text(f"{folder}/raw.csv"))
     raw = files.read_table(spark, f"{folder}/raw.csv", schema="a int, b double, c string")
     # The first line is the header.
     assert [tuple(r) for r in raw.collect()] == [(2, 3.5, "x")]
@@ -140,3 +140,14 @@ def test_ledgers(spark, folder):
     log = ledger.prediction_log(spark.range(3), "single", "linear", 1.0, F.struct("id"), request_id="q")
     ledger.append_predictions(log, f"{folder}/log")
     assert spark.read.parquet(f"{folder}/log").where("mode = 'single' AND request_id = 'q'").count() == 3
+
+
+def test_csv_columns_are_bound_by_name(spark, folder):
+    path = f"{folder}/moved.csv"
+    with open(path, "w") as f:
+        f.write('b,extra,a\n2,"say ""hi"", ok",1\n')
+    got = files.read_table(spark, path, schema="a int, b int, c int")
+    assert got.columns == ["a", "b", "extra"]
+    assert [tuple(r) for r in got.collect()] == [(1, 2, 'say "hi", ok')]
+    files.write_table(got, f"{folder}/back.csv")
+    assert files.read_table(spark, f"{folder}/back.csv", schema=got.schema).exceptAll(got).isEmpty()
