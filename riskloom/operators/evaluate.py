@@ -260,12 +260,18 @@ def apply_operating_points(
         [ranking_quality(test, y=y, score=score, by=by), _totals(test, y, by), _top_hits(test, ks, y, score, row_id, by)], by
     )
     common = common.select(*by, "roc_auc", "pr_auc", *[c.alias(n) for n, c in _top_k_expressions(ks).items()])
-    joined = modes.join(measured, [*by, "step"])
-    if by:
-        joined = joined.join(common, list(by))
-    else:
-        joined = joined.withColumn("_one", F.lit(1)).join(common.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return joined.drop("step")
+    if not by:
+        modes, common = (d.withColumn("_one", F.lit(1)) for d in (modes, common))
+    keys = list(by) or ["_one"]
+    joined = _join_with_nulls(_join_with_nulls(modes, measured, [*by, "step"]), common, keys)
+    return joined.drop("step", "_one")
+
+
+def _join_with_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys where null equals null, so that the group without a name stays."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(other, same).drop(*[f"_right_{k}" for k in keys])
 
 
 def small_sweep(
