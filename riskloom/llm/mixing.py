@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import UPPER, staged, text_of
+from riskloom.llm.quality import BROADCAST_ROWS
 
 FEATURES = 128
 #: Standard errors, at least, by which a feature must tell a domain from the rest.
@@ -75,6 +76,9 @@ class DomainClassifier:
 def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", features: int = FEATURES) -> DomainClassifier:
     """The classifier of the labelled table; every labelled document counts."""
     marks = labelled.where(F.col(f"`{domain_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.min(F.col(f"`{domain_col}`").cast("string")).alias("domain"))
+    marks = staged(marks, "marks")
+    if marks.count() <= BROADCAST_ROWS:  # so that the texts stay where they are
+        marks = F.broadcast(marks)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).join(marks, "id")
     sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}  # a row for each domain
     domains = sorted(sizes)
