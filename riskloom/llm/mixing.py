@@ -46,6 +46,11 @@ def signs_of(text: Column) -> Column:
     return F.split(F.regexp_replace(text, "\\p{Lu}+", "A"), "[\\p{Ll}\\p{N}\\s]+")
 
 
+def _bound(value: Column, use) -> Column:
+    """`use` of a value that is worked out once for a row; an array of one element binds it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 class DomainClassifier:
     """By domain: its score for a text without features, and what each feature adds."""
 
@@ -69,8 +74,8 @@ class DomainClassifier:
                 names = F.array(*[F.lit(f) for f in weights])
                 rows = F.array(*[F.array(*[F.lit(x) for x in w]) for w in weights.values()])
                 scores = F.aggregate(F.array_intersect(met, names), scores, self._adder(names, rows))
-        odds = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-        return F.transform(odds, lambda x: x / F.aggregate(odds, F.lit(0.0), lambda a, b: a + b))
+        odds = _bound(scores, lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s))))
+        return _bound(odds, lambda o: F.transform(o, lambda x: x / F.aggregate(o, F.lit(0.0), lambda a, b: a + b)))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", features: int = FEATURES) -> DomainClassifier:
