@@ -17,10 +17,12 @@ def read_records(
     """Rows of a landed payload.
 
     A payload is a list of records, or an object whose data / items / records holds the list;
-    the first non-empty one counts. Anything else is an error. A file is one payload, or holds one
-    per line; a file with a payload per line can be cut for reading, so large sources land that way.
+    the first non-empty one counts. Anything else is an error, as is a payload that is cut off or does
+    not fit the schema, and, under a schema, one that has neither a list nor a value of any of its fields.
+    A file is one payload, or holds one per line; a file with a payload per line can be cut for reading,
+    so large sources land that way.
     """
-    payload = spark.read.option("multiLine", one_per_file)
+    payload = spark.read.option("multiLine", one_per_file).option("mode", "FAILFAST")
     if schema is not None:
         wrapped = T.StructType([T.StructField(k, T.ArrayType(schema)) for k in RECORD_KEYS])
         rows = payload.schema(T.StructType(list(wrapped.fields) + list(schema.fields))).json(path)
@@ -44,7 +46,9 @@ def _is_record_list(kind: T.DataType) -> bool:
 
 def _either(rows: DataFrame, nested: DataFrame, held, schema: T.StructType, present: list[str]) -> DataFrame:
     absent = reduce(lambda a, b: a & b, [F.col(k).isNull() for k in present])
-    listed = rows.where(absent).select(*schema.fieldNames())
+    filled = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in schema.fieldNames()])
+    told = F.raise_error("the payload must be a list or an object with data, items or records").cast("boolean")
+    listed = rows.where(absent).where(F.when(filled, True).otherwise(told)).select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
     return nested.select(F.explode(held).alias("r")).select("r.*").unionByName(listed)
 
 

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.presets import APPLICATION_SCHEMA
 from riskloom.sources import files, jdbc, ledger, objectstore, records
@@ -93,6 +94,18 @@ def test_first_filled_list_wins_and_bad_payload_raises(spark, folder):
         records.read_records(spark, land("q", {"data": 5}))
 
 
+@pytest.mark.parametrize("payload", ['{"error": "denied"}', '{"data": [{"a": 1}, {"a"'])
+def test_other_and_cut_payloads_raise(spark, folder, payload):
+    spark.createDataFrame([(payload,)], "value string").coalesce(1).write.text(f"{folder}/p")
+    with pytest.raises(Exception, match="must be a list|MALFORMED|[Mm]alformed"):
+        records.read_records(spark, f"{folder}/p", schema=T.StructType().add("a", "long")).collect()
+
+
+def test_catalog_refuses_a_source_without_names():
+    with pytest.raises(ValueError, match="must hold names"):
+        Catalog({"datasets": {"base": {"csv": "base.csv"}}})
+
+
 def test_records_keep_nulls(spark, folder):
     records.write_records(spark.createDataFrame([(1, None)], "a int, b string"), f"{folder}/out")
     assert spark.read.text(f"{folder}/out").first()["value"] == '{"a":1,"b":null}'
