@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions import ratio_or_zero
 from riskloom.operators.ordered import TOP_ROWS, running_sums
@@ -88,8 +89,11 @@ def top_rows(
 ) -> DataFrame:
     """The k best rows by score (ties by row id) with their rank; each task keeps only its own best k.
 
-    Beyond the sizes Spark limits per task, ranks come from running counts over ranges instead.
+    A score that is no number counts as missing, and missing ones come last. Beyond the sizes Spark
+    limits per task, ranks come from running counts over ranges instead.
     """
+    if isinstance(df.schema[score].dataType, (T.DoubleType, T.FloatType)):
+        df = df.withColumn(score, F.when(~F.isnan(score), F.col(score)))
     if k > (GROUP_LIMIT if by else TOP_ROWS):
         counted = running_sums(df.withColumn("_one", F.lit(1)), [f"-{score}", row_id], {rank: "_one"}, by=by)
         return counted.drop("_one").filter(F.col(rank) <= k)

@@ -100,6 +100,19 @@ def test_top_rows_by_running_counts(spark, monkeypatch):
         assert {(r["row_id"], r["rank"]) for r in ev.top_rows(df, 20, by=by).collect()} == want
 
 
+def test_scores_that_are_no_numbers_come_last(spark, monkeypatch):
+    df = frame(spark, [(1, 1, float("nan")), (2, 0, 0.4), (3, 1, 0.9), (4, 0, None), (5, 0, 0.1)])
+    few = [r["row_id"] for r in ev.top_rows(df, 4).orderBy("rank").collect()]
+    monkeypatch.setattr(ev, "TOP_ROWS", 1)
+    many = [r["row_id"] for r in ev.top_rows(df, 4).orderBy("rank").collect()]
+    assert few == many == [3, 2, 5, 1]
+
+
+def test_points_keep_the_group_without_a_name(spark):
+    df = frame(spark, make(12, 80)).withColumn("g", F.when(F.col("row_id") % 2 == 0, "a"))
+    assert {r["g"] for r in ev.apply_operating_points(df, df, by=["g"]).collect()} == {"a", None}
+
+
 def test_mode_without_candidate_is_absent(spark):
     rows = [(i, int(i < 2), 1.0) for i in range(10)]
     got = {r["threshold_mode"] for r in ev.operating_points(ev.threshold_sweep(frame(spark, rows))).collect()}
