@@ -2,41 +2,34 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PAIRWISE_COLUMNS = 16
+PAIRS_PER_PASS = 150
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations in long form (x, y, corr), null where a column is constant.
 
-    Few columns: all pairs in one aggregate. Many: the distributed matrix of the ML library; only
-    columns x columns numbers come back. The matrix form needs a table without gaps.
+    A pair is measured on the rows that have both values. The table is read once for every
+    PAIRS_PER_PASS pairs.
     """
     columns = list(columns)
-    if len(columns) <= PAIRWISE_COLUMNS:
-        pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-        row = df.agg(*[_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-        entries = []
-        for i, (a, b) in enumerate(pairs):
-            entries.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"p{i}").alias("corr")))
-            if a != b:
-                entries.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col(f"p{i}").alias("corr")))
-        return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df).select("_v")
-    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-    rows = [
-        (a, b, None if math.isnan(matrix[i][j]) else float(matrix[i][j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-    ]
-    return df.sparkSession.createDataFrame(rows, "x string, y string, corr double")
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    passes = [pairs[i : i + PAIRS_PER_PASS] for i in range(0, len(pairs), PAIRS_PER_PASS)]
+    return reduce(DataFrame.unionAll, [_pair_correlations(df, part) for part in passes])
+
+
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    row = df.agg(*[_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    entries = []
+    for i, (a, b) in enumerate(pairs):
+        for x, y in dict.fromkeys([(a, b), (b, a)]):
+            entries.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"p{i}").alias("corr")))
+    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def _corr(a: str, b: str) -> Column:

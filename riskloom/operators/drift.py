@@ -223,7 +223,8 @@ def distribution_summary(
 ) -> DataFrame:
     """Long summary per column and side: ten equal-width bins with density, or counts per category.
 
-    Numeric bins use the side's own range. A row is (column, side, label, lower, upper, rows, density).
+    Numeric bins use the side's own range; bins without rows are there, but a side with one value has one
+    bin. A row is (column, side, label, lower, upper, rows, density).
     """
     columns = list(columns) if columns is not None else drift_columns(reference, current)
     numeric = [c for c in columns if _is_number(reference, c) and _is_number(current, c)]
@@ -257,6 +258,10 @@ def distribution_summary(
         .groupBy("_ref", "column", "label")
         .agg(F.count(F.lit(1)).alias("rows"), F.max("low").alias("low"), F.max("high").alias("high"))
     )
+    spans = [(side, c, r[f"lo{i}"], r[f"hi{i}"]) for side, r in ranges.items() for i, c in enumerate(numeric)]
+    empty = [(s, c, f"{b:02d}", 0, lo, hi) for s, c, lo, hi in spans if lo is not None and lo < hi for b in range(bins)]
+    grid = reference.sparkSession.createDataFrame(empty, "_ref int, column string, label string, rows long, low double, high double")
+    counted = counted.unionByName(grid).groupBy("_ref", "column", "label").agg(*[f(c).alias(c) for f, c in ((F.sum, "rows"), (F.max, "low"), (F.max, "high"))])
     width = (F.col("high") - F.col("low")) / bins
     number = F.when(F.col("low").isNotNull(), F.col("label")).cast("int")
     # The totals have one row per column and side.

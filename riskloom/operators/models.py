@@ -59,7 +59,6 @@ class ModelSettings:
     row_share: float = 0.85
     column_share: float = 0.85
     min_leaf_rows: int = 3
-    l2: float = 2.0
     linear_iterations: int = 50
     linear_penalty: float = 0.01
     seed: int = 42

@@ -114,10 +114,16 @@ def require_binary_target(df: DataFrame, target: str = TARGET) -> DataFrame:
         raise ValidationError(f"target column '{target}' is missing")
     found = df.where(F.col(target).isNotNull() & ~F.coalesce(F.col(target).try_cast("double").isin(0.0, 1.0), F.lit(False)))
     if not found.isEmpty():
-        raise ValidationError(f"target column '{target}' must hold 0 and 1 only, found {target_values(df, target)}")
+        shown = _of_all(target_values(df, target), df.select(target).where(F.col(target).isNotNull()).distinct().count())
+        raise ValidationError(f"target column '{target}' must hold 0 and 1 only, found {shown}")
     return df
 
 
+def _of_all(values: list, count: int) -> str:
+    """The values for a message, with their real number where more exist."""
+    return f"{values}" if count <= len(values) else f"{values} and {count - len(values)} more"
+
+
 def full_validation(
     df: DataFrame,
     expected: Sequence[str] = tuple(APPLICATION_COLUMNS),
@@ -162,10 +168,13 @@ def unknown_labels(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFr
 
 
 def require_labels(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
-    """Raise on an unknown or a null label; the message lists the non-null ones."""
-    found = unknown_labels(df, column, allowed).limit(SHOWN_VALUES).collect()
+    """Raise on an unknown or a null label; the message lists the non-null ones, or some and how many more."""
+    unknown = unknown_labels(df, column, allowed)
+    found = unknown.limit(SHOWN_VALUES).collect()
     if found:
-        raise ValidationError(f"unknown values in '{column}': {sorted(r['label'] for r in found if r['label'] is not None)}")
+        labels = sorted(r["label"] for r in found if r["label"] is not None)
+        every = unknown.where(F.col("label").isNotNull()).count() if len(found) == SHOWN_VALUES else len(labels)
+        raise ValidationError(f"unknown values in '{column}': {_of_all(labels, every)}")
     return df
 
 

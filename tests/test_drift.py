@@ -104,6 +104,24 @@ def test_distribution_and_roll_up(spark, folder):
     assert [r["report_file"] for r in drift.report_roll_up(spark, [f"{folder}/drift_z", f"{folder}/drift_b"]).collect()] == ["drift_b"]
 
 
+def test_bins_without_rows_are_there(spark):
+    df = spark.createDataFrame([(0.0, 5.0), (1.0, 5.0), (10.0, 5.0)], "x double, one double")
+    rows = drift.distribution_summary(df, df, ["x", "one"]).where("side = 'current'").orderBy("column", "label").collect()
+    assert [(r["column"], r["rows"]) for r in rows] == [("one", 3), ("x", 1), ("x", 1), *[("x", 0)] * 7, ("x", 1)]
+    assert [r["density"] for r in rows if r["column"] == "x" and not r["rows"]] == [0.0] * 7
+
+
+def test_correlations_use_the_rows_with_both_values(spark):
+    values = [[None if (i + j) % 5 == 0 else math.sin(i * (j + 1)) for j in range(18)] for i in range(60)]
+    df = spark.createDataFrame([tuple(v) for v in values], ", ".join(f"c{j} double" for j in range(18)))
+    got = {(r["x"], r["y"]): r["corr"] for r in correlate.correlation_matrix(df, df.columns).collect()}
+    assert len(got) == 18 * 18
+    both = [(v[2], v[9]) for v in values if v[2] is not None and v[9] is not None]
+    mx, my = (sum(p[k] for p in both) / len(both) for k in (0, 1))
+    sxy, sxx, syy = (sum((p[a] - m) * (p[b] - n) for p in both) for a, b, m, n in ((0, 1, mx, my), (0, 0, mx, mx), (1, 1, my, my)))
+    assert got["c2", "c9"] == got["c9", "c2"] == pytest.approx(sxy / math.sqrt(sxx * syy))
+
+
 def test_correlations_small_and_wide(spark):
     df = spark.range(200).select(*[(F.sin(F.col("id") * (i + 1)) + F.col("id") * (i % 3)).alias(f"c{i}") for i in range(20)])
     names = df.columns

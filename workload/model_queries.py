@@ -255,9 +255,11 @@ D07_COLUMNS = ["credit_risk_score", "income", "payment_type", "velocity_6h"]
 
 
 def side_bins(c: str) -> str:
-    return f"""SELECT '{c}' AS name, side, CAST(CAST(greatest(least(floor(10 * (x - lo) / nullif(hi - lo, 0)), 9), 0) AS INT) AS VARCHAR) AS bin, lo, hi, count(*) AS n
-    FROM (SELECT side, CAST({c} AS DOUBLE) AS x, min(CAST({c} AS DOUBLE)) OVER (PARTITION BY side) AS lo, max(CAST({c} AS DOUBLE)) OVER (PARTITION BY side) AS hi FROM pooled)
-    GROUP BY side, bin, lo, hi"""
+    return f"""SELECT '{c}' AS name, side, CAST(bin AS VARCHAR) AS bin, lo, hi, count(*) FILTER (WHERE place = bin) AS n
+    FROM (SELECT side, lo, hi, CAST(greatest(least(floor(10 * (x - lo) / nullif(hi - lo, 0)), 9), 0) AS INT) AS place
+      FROM (SELECT side, CAST({c} AS DOUBLE) AS x, min(CAST({c} AS DOUBLE)) OVER (PARTITION BY side) AS lo, max(CAST({c} AS DOUBLE)) OVER (PARTITION BY side) AS hi FROM pooled)),
+      (SELECT CAST(unnest(range(10)) AS INT) AS bin)
+    GROUP BY side, bin, lo, hi HAVING lo < hi OR count(*) FILTER (WHERE place = bin) > 0"""
 
 
 @query(
