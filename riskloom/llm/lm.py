@@ -24,6 +24,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -98,10 +99,10 @@ class Language:
 
     def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Place among the frequent words, or -1, and class."""
-        at = np.fromiter((self.words.get(w, -1) for w in words), np.int64, len(words))
+        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
         kind = np.where(at >= 0, self.word_class[at], 0) if len(self.word_class) else np.zeros(len(at), np.int64)
-        for i in np.flatnonzero(at < 0):
-            kind[i] = self.classes - TAILS + tail_of(words[i])
+        rare = np.flatnonzero(at < 0)
+        kind[rare] = self.classes - TAILS + np.fromiter((tail_of(words[i]) for i in rare.tolist()), np.int64, len(rare))
         return at, kind
 
     def contexts(self, kinds: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,6 +149,12 @@ def _tail(word: Column) -> Column:
     return F.when((F.octet_length(word) > 0) & code.between(0, 25), code).otherwise(26)
 
 
+def _sums(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows with one index."""
+    flat = (index[:, None] * SIZE + np.arange(SIZE)).ravel()
+    return np.bincount(flat, rows.ravel(), size * SIZE).reshape(size, SIZE).astype(np.float32)
+
+
 def _learn(batch: tuple[np.ndarray, np.ndarray, np.ndarray], w: Weights, seen: list[np.ndarray], noise: np.ndarray, share: np.ndarray, rate: float) -> None:
     """One step of noise-contrastive estimation on a batch, with step sizes by past slopes."""
     one, two, kind = batch
@@ -158,13 +165,10 @@ def _learn(batch: tuple[np.ndarray, np.ndarray, np.ndarray], w: Weights, seen: l
         false = 1 / (1 + np.exp(-(q @ w.target[noise].T + w.bias[noise] - share[noise])))
     n = len(kind)
     for_q = (true[:, None] * w.target[kind] - false @ w.target[noise]) / n
-    target, bias, context = np.zeros_like(w.target), np.zeros_like(w.bias), np.zeros_like(w.context)
-    np.add.at(target, kind, true[:, None] * q / n)
-    np.add.at(target, noise, -(false.T @ q) / n)
-    np.add.at(bias, kind, true / n)
-    np.add.at(bias, noise, -false.sum(axis=0) / n)
-    np.add.at(context, one, for_q * w.place[0])
-    np.add.at(context, two, for_q * w.place[1])
+    classes = len(w.target)
+    target = _sums(np.concatenate([kind, noise]), np.concatenate([true[:, None] * q, -(false.T @ q)]), classes) / n
+    bias = (np.bincount(kind, true, classes) - np.bincount(noise, false.sum(axis=0), classes)).astype(np.float32) / n
+    context = _sums(np.concatenate([one, two]), np.concatenate([for_q * w.place[0], for_q * w.place[1]]), classes + 1)
     place = np.stack([(for_q * x).sum(axis=0), (for_q * y).sum(axis=0)])
     for value, slope, past in zip((w.context, w.target, w.bias, w.place), (context, target, bias, place), seen, strict=True):
         past += slope * slope
