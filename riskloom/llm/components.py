@@ -12,7 +12,7 @@ def _turn(edges: DataFrame) -> DataFrame:
     """From edges (high, low): every larger neighbour, then every smaller one, is tied to the smallest."""
     both = edges.select(F.col("high").alias("u"), F.col("low").alias("v")).unionAll(edges.select(F.col("low").alias("u"), F.col("high").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     least = large.groupBy("u").agg(F.min("v").alias("m"))
     small = large.join(least, "u").where("v <> m").select(F.col("v").alias("high"), F.col("m").alias("low"))
     return small.unionAll(least.select(F.col("u").alias("high"), F.col("m").alias("low"))).where("high <> low").distinct()

@@ -36,7 +36,7 @@ BUCKETS = 1 << 18
 #: Longs of a set's bitmap, in which every shingle flips one bit.
 BITMAP = 16
 #: Rounds of one leader for each open list, before the pairs that remain are formed.
-ROUNDS = 4
+ROUNDS = 2
 
 _words = WordTable(1, lambda w: (xxhash.xxh3_64_intdigest(w),))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -59,15 +59,15 @@ def _sketcher(width: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in byte_slices(batches, "text"):
-            for text in raw(batch.column("text")):
-                counts += np.bincount((shingles(text, width) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+            met = np.concatenate([shingles(text, width) for text in raw(batch.column("text"))])
+            counts += np.bincount((met % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], ["bucket", "n"])
 
     return count
 
 
-SETS = "id long, n long, h1 long, h2 long, prefix_hash long, prefix array<long>, bits array<long>"
+SETS = "id long, text_hash long, n long, h1 long, h2 long, prefix_hash long, prefix array<long>, bits array<long>"
 
 
 def _bitmap(own: np.ndarray) -> np.ndarray:
@@ -90,7 +90,7 @@ def _describer(width: int, percent: int, counts: np.ndarray):
                 for column, value in zip(rows, values, strict=True):
                     column.append(value)
             columns = [pa.array(c, pa.int64()) for c in rows[:4]] + [pa.array(c, pa.list_(pa.int64())) for c in rows[4:]]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "h1", "h2", "prefix_hash", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_hash"), *columns], ["id", "text_hash", "n", "h1", "h2", "prefix_hash", "prefix", "bits"])
 
     return describe
 
@@ -110,15 +110,6 @@ def _open_lists(sets: DataFrame, classes: DataFrame) -> DataFrame:
     return staged(across.unionAll(within), "lists")
 
 
-def _hasher(width: int):
-    @F.pandas_udf("h1 long, h2 long")
-    def digest(texts: pd.Series) -> pd.DataFrame:
-        found = [xxhash.xxh3_128_intdigest(shingles(t.encode(), width).tobytes()) for t in texts]
-        return pd.DataFrame({"h1": [signed(x >> 64) for x in found], "h2": [signed(x & (1 << 64) - 1) for x in found]}, dtype="int64")
-
-    return digest
-
-
 def _verifier(width: int):
     @F.pandas_udf(T.LongType())
     def common(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -133,24 +124,30 @@ def _may_link(percent: int) -> str:
     return f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n) AND {100 + percent} * ({overlap}) >= {percent} * (n + lead_n)"
 
 
+def _near_roots(links: DataFrame) -> DataFrame:
+    """(node, root) of linked nodes by two steps along the links: one root means one component, not the reverse."""
+    up = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    above = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return up.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+
+
 def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row its set's size and `component_id`, the smallest id reachable by links."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("text_hash"))
     counts = np.zeros(BUCKETS, np.int64)
     for r in texts.select("text").mapInArrow(_sketcher(width), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS rows
         counts[r.bucket] = r.n
     sets = staged(texts.mapInArrow(_describer(width, percent, counts), SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
     classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("class"), F.min("id").alias("least_id"), F.min("prefix_hash").alias("prefix_hash"))
     classes = staged(classes, "classes")
-    bitmaps = sets.select(F.col("row").alias("class"), "bits")
     lists = _open_lists(sets, classes)
 
-    wanted = classes.join(lists.select("class").distinct(), "class", "left_semi").select("h1", "h2", "class", F.col("least_id").alias("id"))
-    keyed = texts.withColumn("h", _hasher(width)("text")).select("id", "text", "h.h1", "h.h2")
-    bodies = keyed.join(wanted, (keyed.h1 == wanted.h1) & (keyed.h2 == wanted.h2) & keyed.id.eqNullSafe(wanted.id)).select("class", "text")
+    wanted = sets.join(lists.select(F.col("class").alias("row")).distinct(), "row", "left_semi")
+    bitmaps = staged(wanted.select(F.col("row").alias("class"), "id", "text_hash", "bits"), "bitmaps")
+    first = bitmaps.select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
+    bodies = texts.join(first, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("class", "text")
     bodies = staged(bodies.dropDuplicates(["class"]), "bodies")
-    bitmaps = staged(bitmaps.join(wanted.select("class"), "class"), "bitmaps")
     apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
 
     links = tested = spark.createDataFrame([], "a long, b long")
@@ -175,13 +172,15 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
         compared = pairs.join(left, "a").join(right, "b").withColumn("common", _verifier(width)("text_a", "text_b"))
         found = compared.where(f"{100 + percent} * common >= {percent} * (n + lead_n)").select("a", "b")
         links = staged(links.unionAll(found), "linked")
-        roots = staged(components(links), "roots")
         if turn == ROUNDS:
             break
         tested = tested.unionAll(pairs.select("a", "b"))
         lists = staged(open_.where(F.col("class") != F.col("lead.class")).select("list", "class", "n", "place"), "lists")
         if lists.isEmpty():
             break
+        # labels only spare comparisons until all pairs are formed, which takes true components
+        roots = staged(_near_roots(links) if turn + 1 < ROUNDS else components(links), "roots")
+    roots = components(links)
 
     named = classes.join(roots, classes["class"] == roots["node"], "left").select("h1", "h2", "n", "least_id", F.coalesce("root", "class").alias("label"))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
