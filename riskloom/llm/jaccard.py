@@ -10,7 +10,8 @@ A list is then settled without forming all its pairs: its members are compared w
 then with the next leader, and members already in one component need no comparison. After a few rounds lists
 that are still open give all their remaining pairs between components, so no link between components is
 missed. Sizes, positions in the prefix and
-small bitmaps of the sets rule pairs out before the texts of the rest are compared.
+small bitmaps of the sets rule pairs out, within the join where pairs are formed, before the texts of the
+rest are compared.
 
 Defined results: a null text, or one without words, has an empty set, links with nothing and is its own
 component; a null id has no say in a component's smallest id; repeated rows have equal sets; an empty table
@@ -20,12 +21,14 @@ gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,6 +127,13 @@ def _may_link(percent: int) -> str:
     return f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n) AND {100 + percent} * ({overlap}) >= {percent} * (n + lead_n)"
 
 
+def _bits_allow(percent: int, a: str, b: str) -> Column:
+    """Whether the bitmaps leave room for a link: sets share at most half of their sizes less the bits that differ."""
+    apart = reduce(add, [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITMAP)])
+    sizes = F.col("n") + F.col("lead_n")
+    return (100 + percent) * (sizes - apart) >= 2 * percent * sizes
+
+
 def _near_roots(links: DataFrame) -> DataFrame:
     """(node, root) of linked nodes by two steps along the links: one root means one component, not the reverse."""
     up = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
@@ -148,7 +158,6 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     first = bitmaps.select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
     bodies = texts.join(first, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("class", "text")
     bodies = staged(bodies.dropDuplicates(["class"]), "bodies")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
 
     links = tested = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
@@ -160,13 +169,14 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
         if turn < ROUNDS:
             led = open_.select("list", "class", "n", "place", "label", F.col("lead.class").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.place").alias("lead_place"), F.col("lead.label").alias("lead_label"))
         else:
-            other = open_.select("list", F.col("class").alias("lead"), F.col("n").alias("lead_n"), F.col("place").alias("lead_place"), F.col("label").alias("lead_label"))
-            led = open_.drop("lead").join(other, "list").where("class > lead")
+            member = open_.drop("lead").join(bitmaps.select("class", F.col("bits").alias("own_bits")), "class")
+            other = member.select("list", F.col("class").alias("lead"), F.col("n").alias("lead_n"), F.col("place").alias("lead_place"), F.col("label").alias("lead_label"), F.col("own_bits").alias("lead_bits"))
+            # all tests on a pair are part of the join, which yields only pairs that may link
+            led = member.join(other, "list").where("class > lead AND label <> lead_label").where(_may_link(percent)).where(_bits_allow(percent, "own_bits", "lead_bits"))
         pairs = led.where("class <> lead AND label <> lead_label").where(_may_link(percent)).select(F.col("class").alias("a"), F.col("lead").alias("b"), "n", "lead_n").distinct()
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pairs.join(bitmaps.select(F.col("class").alias("a"), F.col("bits").alias("bits_a")), "a").join(bitmaps.select(F.col("class").alias("b"), F.col("bits").alias("bits_b")), "b")
-        # what two sets share is at most half of their sizes less the bits that differ
-        pairs = staged(pairs.where((100 + percent) * (F.col("n") + F.col("lead_n") - apart) >= 2 * percent * (F.col("n") + F.col("lead_n"))).select("a", "b", "n", "lead_n"), "pairs")
+        pairs = staged(pairs.where(_bits_allow(percent, "bits_a", "bits_b")).select("a", "b", "n", "lead_n"), "pairs")
         left = bodies.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
         right = bodies.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
         compared = pairs.join(left, "a").join(right, "b").withColumn("common", _verifier(width)("text_a", "text_b"))
