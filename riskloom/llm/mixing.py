@@ -1,9 +1,10 @@
 """Mixing to target weights when documents belong to domains in part.
 
 A classifier fitted on a table of labelled documents gives every document a probability for each domain: the
-features are its distinct words, and the signs between them. Those whose presence tells a domain from the rest beyond chance,
-best first and at most a given number, enter a naive Bayes model that counts their absence as well as their
-presence. With n tokens and posteriors p, a
+features are its distinct words, and the signs between them. All whose presence tells a domain from the rest beyond chance
+enter a naive Bayes model of what is present; its base scores are set so that the labelled documents' expected numbers by
+domain are the real ones. Absence is not counted: a text without most of many rare words tells nothing. The features form a table, which the
+features of every document are joined to; what they add is summed within the document's task. With n tokens and posteriors p, a
 document taken at rate r adds r n p[k] expected tokens to domain k. Rates within bounds are found by
 projected gradient steps on the squared gaps between expected and wanted tokens of the domains, each gap
 measured against the domain's present tokens; with that measure a step of one never overshoots. Each step
@@ -18,6 +19,7 @@ an empty result. Added columns replace input columns of the same name.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +27,14 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import UPPER, staged, text_of
 from riskloom.llm.quality import BROADCAST_ROWS
 
-FEATURES = 128
 #: Standard errors, at least, by which a feature must tell a domain from the rest.
 CHANCE = 4.0
 #: How many times as frequent it must be there.
 RATIO = 4.0
+#: Documents with the domains' usual shares that are counted with a feature's own, so that rare features weigh little.
+SMOOTH = 40.0
+#: Corrections of the domains' base scores, at most, and the one that ends them.
+ROUNDS, CLOSE = 20, 0.01
 STEPS = 40
 NAMES = ("n_tokens", "posteriors", "rate")
 #: Fixed value: what separates words.
@@ -51,61 +56,73 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _features(rows: DataFrame, *keys: str) -> DataFrame:
+    """A row for each distinct word and sign of each text, beside the keys."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.array_distinct(a).alias("met")) for k, a in (("word", words_of(F.col("text"))), ("sign", signs_of(F.col("text"))))])
+    return rows.select(*keys, F.explode(kinds).alias("k")).select(*keys, "k.kind", F.explode("k.met").alias("feature")).where("feature <> ''")
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """The table, sent to every executor unless it is large, so that the other side stays where it is."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+@dataclass
 class DomainClassifier:
-    """By domain: its score for a text without features, and what each feature adds."""
+    """By domain its score for a text without features, and the table of what each feature adds (w0, w1 ...)."""
 
-    def __init__(self, domains: list[str], base: list[float], weights: dict[tuple[str, str], list[float]]):
-        self.domains, self.base, self.weights = domains, base, weights
+    domains: list[str]
+    base: list[float]
+    weights: DataFrame | None
+
+    def sums(self, rows: DataFrame) -> DataFrame:
+        """From columns row and text, for rows with any feature: row and what its features add by domain."""
+        sums = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(self.domains))]
+        return _features(rows, "row").join(_small(self.weights), ["kind", "feature"]).groupBy("row").agg(*sums)
+
+    def posteriors(self) -> Column:
+        """An array of probabilities by domain, from sums; without sums that of a text without features."""
+        return self.odds([F.lit(float(b)) + F.coalesce(F.col(f"w{i}"), F.lit(0.0)) for i, b in enumerate(self.base)])
 
     @staticmethod
-    def _adder(names: Column, rows: Column):
-        def add(scores: Column, feature: Column) -> Column:
-            row = F.element_at(rows, F.array_position(names, feature).cast("int"))
-            return F.zip_with(scores, row, lambda a, b: a + b)
-
-        return add
-
-    def posteriors(self, words: Column, signs: Column) -> Column:
-        """An array of probabilities in the order of the domains."""
-        scores = F.array(*[F.lit(s) for s in self.base])
-        for kind, met in (("word", words), ("sign", signs)):
-            weights = {f: w for (k, f), w in self.weights.items() if k == kind}
-            if weights:
-                names = F.array(*[F.lit(f) for f in weights])
-                rows = F.array(*[F.array(*[F.lit(x) for x in w]) for w in weights.values()])
-                scores = F.aggregate(F.array_intersect(met, names), scores, self._adder(names, rows))
-        odds = _bound(scores, lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s))))
+    def odds(scores: list[Column]) -> Column:
+        odds = _bound(F.array(*scores), lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s))))
         return _bound(odds, lambda o: F.transform(o, lambda x: x / F.aggregate(o, F.lit(0.0), lambda a, b: a + b)))
 
 
-def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", features: int = FEATURES) -> DomainClassifier:
+def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> DomainClassifier:
     """The classifier of the labelled table; every labelled document counts."""
     marks = labelled.where(F.col(f"`{domain_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.min(F.col(f"`{domain_col}`").cast("string")).alias("domain"))
-    marks = staged(marks, "marks")
-    if marks.count() <= BROADCAST_ROWS:  # so that the texts stay where they are
-        marks = F.broadcast(marks)
+    marks = _small(staged(marks, "marks"))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).join(marks, "id")
     sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}  # a row for each domain
     domains = sorted(sizes)
     if not domains:
-        return DomainClassifier([], [], {})
+        return DomainClassifier([], [], None)
     total = sum(sizes.values())
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.array_distinct(a).alias("met")) for k, a in (("word", words_of(F.col("text"))), ("sign", signs_of(F.col("text"))))])
-    met = rows.select("domain", F.explode(kinds).alias("k")).select("domain", "k.kind", F.explode("k.met").alias("feature")).where("feature <> ''")
-    counts = met.groupBy("kind", "feature").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(domains)])
+    counts = _features(rows, "domain").groupBy("kind", "feature").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(domains)])
     tells = []
     for i, d in enumerate(domains):
         here, rest = F.col(f"n{i}") / F.lit(float(sizes[d])), sum((F.col(f"n{j}") for j in range(len(domains)) if j != i), F.lit(0)) / F.lit(max(1.0, float(total - sizes[d])))
         share = sum((F.col(f"n{j}") for j in range(len(domains))), F.lit(0)) / F.lit(float(total))
         error = F.sqrt(share * (1 - share) * (1 / sizes[d] + 1 / max(1, total - sizes[d])) + 1e-12)
         tells.append(F.when(here >= RATIO * rest, (here - rest) / error))
-    best = counts.withColumn("tells", F.array_max(F.array(*tells))).where(F.col("tells") >= CHANCE).orderBy(F.desc("tells"), "kind", "feature").limit(features).collect()
-    base, weights = [math.log(sizes[d] / total) for d in domains], {}
-    for r in best:
-        share = [(r[f"n{i}"] + 0.5) / (sizes[d] + 1.0) for i, d in enumerate(domains)]
-        weights[r.kind, r.feature] = [math.log(s / (1 - s)) for s in share]
-        base = [b + math.log(1 - s) for b, s in zip(base, share, strict=True)]
-    return DomainClassifier(domains, base, weights)
+    adds = [F.log((F.col(f"n{i}") + F.lit(SMOOTH * sizes[d] / total)) / F.lit(sizes[d] + SMOOTH)).alias(f"w{i}") for i, d in enumerate(domains)]
+    weights = staged(counts.where(F.array_max(F.array(*tells)) >= CHANCE).select("kind", "feature", *adds), "features")
+    classifier = DomainClassifier(domains, [math.log(sizes[d] / total) for d in domains], weights)
+    sums = classifier.sums(rows.select(F.monotonically_increasing_id().alias("row"), "text"))
+    sums = staged(sums.drop("row"), "sums")
+    bare = total - sums.count()
+    for _ in range(ROUNDS):
+        p = classifier.posteriors()
+        met = sums.agg(*[F.coalesce(F.sum(F.element_at(p, i + 1)), F.lit(0.0)) for i in range(len(domains))]).first()
+        top = max(classifier.base)
+        alone = [math.exp(b - top) for b in classifier.base]
+        shift = [math.log(sizes[d] / (m + bare * a / sum(alone))) for d, m, a in zip(domains, met, alone, strict=True)]
+        classifier.base = [b + x for b, x in zip(classifier.base, shift, strict=True)]
+        if max(map(abs, shift)) < CLOSE:
+            break
+    return classifier
 
 
 def _moved(rate: Column, p: list[Column], steps: list[list[float]], least: float, most: float) -> Column:
@@ -124,12 +141,18 @@ def fit_rates(
     or, with `anchor`, as many as leave that domain its present tokens.
     """
     k = len(classifier.domains)
-    given = [c for c in docs.columns if c not in names]
-    text = text_of(text_col)
-    rows = docs.select(*[F.col(f"`{c}`") for c in given], words_of(text).alias("__words"), signs_of(text).alias("__signs"))
-    p = classifier.posteriors(F.col("__words"), F.col("__signs")) if k else F.array().cast("array<double>")
-    rows = rows.select(*[F.col(f"`{c}`") for c in given], F.size(F.array_remove("__words", "")).cast("long").alias(names[0]), p.alias(names[1]))
-    rows = staged(rows, "mixing")
+    outer = [c for c in docs.columns if c not in names]
+    inner = [f"c{i}" for i in range(len(outer))]  # names that cannot clash with ours
+    text = text_of(inner[outer.index(text_col)])
+    texts = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(outer, inner, strict=True)]).withColumn("n", F.size(F.array_remove(words_of(text), "")).cast("long"))
+    texts = staged(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
+    if k:
+        sums = staged(classifier.sums(texts.select("row", text.alias("text"))), "sums")
+        scored = texts.select("row", "n").join(_small(sums), "row", "left").select("row", "n", classifier.posteriors().alias("p"))
+    else:
+        scored = texts.select("row", "n", F.array().cast("array<double>").alias("p"))
+    scored = staged(scored, "mixing")
+    rows = scored.select(F.col("n").alias(names[0]), F.col("p").alias(names[1]))
     p = [F.element_at(F.col(names[1]), i + 1) for i in range(k)]
 
     def totals(rate: Column) -> list[float]:
@@ -153,7 +176,8 @@ def fit_rates(
             moves.append(gaps)
             last = size
             have = totals(_moved(F.lit(start), p, moves, least, most))
-    return rows.withColumn(names[2], _moved(F.lit(start), p, moves, least, most))
+    rated = scored.select("row", F.col("n").alias(names[0]), F.col("p").alias(names[1])).withColumn(names[2], _moved(F.lit(start), p, moves, least, most))
+    return texts.join(_small(rated), "row").select(*[F.col(i).alias(c) for i, c in zip(inner, outer, strict=True)], *names)
 
 
 def drawn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str, str] = NAMES) -> DataFrame:

@@ -250,6 +250,20 @@ def test_mixing_meets_targets(spark):
     assert kept.columns == docs.columns and kept.where("doc_id < 300 AND doc_id % 3 = 0").count() == 100
 
 
+def test_every_telling_feature_counts(spark, monkeypatch):
+    """More telling words than fit a short list: each rare one is all that tells its documents' domain."""
+    some = lambda kind, i, n: " ".join(f"{kind}{(i + j) % n}" for j in range(5))
+    rows = [(i, some("junk", i, 200), "junk") for i in range(4000)] + [(5000 + i, some("scorn", i, 40), "toxic") for i in range(800)] + [(6000 + i, f"plain{i}", "plain") for i in range(4000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labelled = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, domain string")
+    for limit in (mixing.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(mixing, "BROADCAST_ROWS", limit)
+        classifier = mixing.fit_domains(docs, labelled)
+        got = mixing.fit_rates(docs, classifier, {"plain": 1.0}).select("doc_id", "posteriors").collect()
+        best = {r.doc_id: classifier.domains[int(np.argmax(r.posteriors))] for r in got}
+        assert best == {r[0]: r[2] for r in rows}
+
+
 def test_pseudonyms_round_trip(spark, docs, rows, empty):
     text = "card 4111 1111 1111 1111, not 4111 1111 1111 1112; ssn 123-45-6789 on 2020-02-29 or 31.12.1999, never 30.02.1999; ab.c9@mail.com +1 (555) 010-9999 10.0.255.3"
     table = spark.createDataFrame([(1, text, "x"), (2, text, "y"), (3, None, None), (4, "", None), (5, "plain words", "")], "doc_id long, text string, n_values string")
