@@ -5,8 +5,8 @@ within its format by an alternating Feistel network whose rounds are keyed by SH
 on the key and the format only, so equal values get equal pseudonyms in every document, pseudonyms are valid
 values, and who has the key can restore the originals. Everything happens within the row: no shuffle.
 
-Formats: payment card numbers (13 to 19 digits, Luhn; the check digit is made anew), telephone numbers with an
-area code, IPv4 addresses, social security numbers, dates from 1900 to 2099 (ISO, or day first with dots), and
+Formats: payment card numbers (13 to 19 digits, Luhn; the check digit is made anew), telephone numbers with
+an area code of any three digits (in brackets, after a country code, or set off by a sign), IPv4 addresses, social security numbers, dates from 1900 to 2099 (ISO, or day first with dots), and
 the letters and digits before the @ of mail addresses.
 
 Defined results: a null text stays null, texts without findings stay as they are, values that fail their test
@@ -26,7 +26,7 @@ PATTERNS = {
     "ip": f"(?<![0-9.])(?:{_OCTET}\\.){{3}}{_OCTET}(?![0-9]|\\.[0-9])",
     "date": "(?<![0-9])(?:(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])|(?:0[1-9]|[12][0-9]|3[01])\\.(?:0[1-9]|1[0-2])\\.(?:19|20)[0-9]{2})(?![0-9])",
     "ssn": "(?<![0-9-])(?!000|666)[0-8][0-9]{2}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
-    "phone": "(?:\\+[0-9]{1,3}[ .-]?)?\\([2-9][0-9]{2}\\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\\+[0-9]{1,3}[ .-][2-9][0-9]{2}[ .-][0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    "phone": "(?:\\+[0-9]{1,3}[ .-]?)?\\([0-9]{3}\\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\\+[0-9]{1,3}[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "card": "(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 ANY = "|".join(PATTERNS.values())
@@ -97,12 +97,10 @@ class Pseudonyms:
         return self.let(net, "x", out)
 
     def phone(self, m: str) -> str:
-        """The ten national digits: areas from 200, and seven digits; the country code stays."""
-        body = f"regexp_extract({m}, '(\\\\+[0-9]{{1,3}}[ .-]?)?(.*)', 2)"
-        country = f"regexp_extract({m}, '(\\\\+[0-9]{{1,3}}[ .-]?)?(.*)', 1)"
-        net = self.feistel("'phone'", "CAST(substring(d, 1, 3) AS BIGINT) - 200", "substring(d, 4)", "800", "10000000")
-        fresh = self.let(net, "x", "concat(CAST(x.l + 200 AS STRING), lpad(CAST(x.r AS STRING), 7, '0'))")
-        return f"concat({country}, {self.let(f"regexp_replace({body}, '[^0-9]', '')", 'd', self.let(fresh, 'fresh', self.refill(body, 'fresh', '0-9')))})"
+        """The ten national digits: areas and seven digits; the country code stays."""
+        net = self.feistel("'phone'", "substring(d, length(d) - 9, 3)", "substring(d, length(d) - 6)", "1000", "10000000")
+        fresh = self.let(net, "x", "concat(substring(d, 1, length(d) - 10), lpad(CAST(x.l AS STRING), 3, '0'), lpad(CAST(x.r AS STRING), 7, '0'))")
+        return self.let(f"regexp_replace({m}, '[^0-9]', '')", "d", self.let(fresh, "fresh", self.refill(m, "fresh", "0-9")))
 
     @staticmethod
     def luhn(digits: str) -> str:
@@ -124,7 +122,7 @@ class Pseudonyms:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", restore: bool = False, count: str | None = None) -> DataFrame:
     """The rows with their texts' findings replaced; `count` names a column for the number of values changed."""
     text = F.col(f"`{text_col}`")
-    found = F.when(text.rlike("[0-9][0-9]|@"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = F.when(text.rlike("[0-9]|@"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<string>")))
     rows = rows.withColumn("__new", F.expr(f"transform(__found, m -> {Pseudonyms(key, restore).replaced('m')})"))
     between = F.split(text, ANY, -1)

@@ -282,6 +282,18 @@ def test_pseudonyms_round_trip(spark, docs, rows, empty):
     assert pii.pseudonymise(empty, "key").count() == 0
 
 
+def test_pseudonyms_of_all_telephone_forms(spark):
+    """Any area, with and without brackets; and texts without two digits side by side."""
+    values = ["+1 (017) 555-7713", "(132) 555-1352", "415-555-2671", "415.555.2671", "+1 000 555 2671", "+14155552671", "8.8.8.8", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1"]
+    table = spark.createDataFrame([(i, f"at {v} now") for i, v in enumerate(values)], "doc_id long, text string")
+    hidden = pii.pseudonymise(table, "key", count="n")
+    got = {r.doc_id: r for r in hidden.collect()}
+    for i, v in enumerate(values):
+        assert v not in got[i].text and got[i].n == 1
+    back = {r.doc_id: r.text for r in pii.pseudonymise(hidden, "key", restore=True).collect()}
+    assert [back[i] for i in range(len(values))] == [f"at {v} now" for v in values]
+
+
 def test_language_model(docs, rows):
     language, counts = lm.fit(docs, head=20, known=50)
     got = lm.score_texts(docs, language, counts).collect()
