@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, fingerprints, jaccard, lm, mixing, packing, pii, quality, sharding, suffix
+from riskloom.llm import exact, fingerprints, jaccard, lm, manifest, mixing, packing, pii, quality, sharding, suffix
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,52 @@ def log_bilinear(spark: SparkSession, folder: str) -> DataFrame:
     language, counts = lm.fit(docs.where(~quality.in_fold(F.col("doc_id"), 5, 1)))
     scored = lm.score_texts(docs, language, counts)
     return scored.select("doc_id", quality.in_fold(F.col("doc_id"), 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _manifest_sql(levels: int = 16, top_levels: int = 8) -> str:
+    """The manifest with one step of SQL for each level: enough for 3^levels rows of a source, 3^top_levels sources."""
+    h = lambda text: f"sha256({text})"
+    size = "CASE WHEN {0} IS NULL THEN '-' ELSE CAST(strlen({0}) AS VARCHAR) || ':' || {0} END"
+    leaf = lambda text: h(" || ".join(size.format(c) for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)))
+    # crc32 bit by bit over the digits of the id
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"
+    steps = [
+        f"leaves AS MATERIALIZED (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN ({crc}) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf('text')} END AS claimed FROM documents)",
+        "d0 AS MATERIALIZED (SELECT *, coalesce('=' || source, '-') AS key, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS pos FROM leaves)",
+        "n0 AS MATERIALIZED (SELECT key, pos, leaf AS node FROM d0)",
+    ]
+
+    def climb(prefix: str, last: int) -> None:
+        for i in range(last):
+            run = "(PARTITION BY key, pos // 3 ORDER BY pos)"
+            steps.append(
+                f"{prefix}s{i} AS MATERIALIZED (SELECT key, pos, node, count(*) OVER (PARTITION BY key) AS total, "
+                f"coalesce(lag(node, 2) OVER {run}, '') || coalesce(lag(node) OVER {run}, '') AS before, coalesce(lead(node) OVER {run}, '') || coalesce(lead(node, 2) OVER {run}, '') AS after FROM {prefix}n{i})"
+            )
+            steps.append(f"{prefix}n{i + 1} AS MATERIALIZED (SELECT key, pos // 3 AS pos, CASE WHEN max(total) = 1 THEN max(node) ELSE {h("string_agg(node, '' ORDER BY pos)")} END AS node FROM {prefix}s{i} GROUP BY key, pos // 3)")
+
+    def descend(prefix: str, last: int) -> None:
+        for i in range(last):
+            steps.append(
+                f"{prefix}d{i + 1} AS MATERIALIZED (SELECT d.* REPLACE (d.pos // 3 AS pos, "
+                f"CASE WHEN s.total = 1 THEN d.folded ELSE {h('s.before || d.folded || s.after')} END AS folded, CASE WHEN s.total = 1 THEN d.proof ELSE d.proof || s.before || s.after END AS proof) FROM {prefix}d{i} d JOIN {prefix}s{i} s USING (key, pos))"
+            )
+
+    climb("", levels)
+    steps.append(f"tn0 AS MATERIALIZED (SELECT 'top' AS key, row_number() OVER (ORDER BY encode(key)) - 1 AS pos, node, key AS source_key FROM n{levels})")
+    climb("t", top_levels)
+    steps[1] = steps[1].replace("SELECT *,", "SELECT *, claimed AS folded, '' AS proof,")
+    descend("", levels)
+    steps.append(f"td0 AS MATERIALIZED (SELECT d.doc_id, d.leaf, t.node AS subroot, 'top' AS key, t.pos, d.folded, d.proof FROM d{levels} d JOIN tn0 t ON d.key = t.source_key)")
+    descend("t", top_levels)
+    return (
+        f"WITH {', '.join(steps)} SELECT doc_id, leaf, subroot, r.node AS root, {h('proof')} AS proof_sha256, folded AS folded_root, folded = r.node AS verified "
+        f"FROM td{top_levels}, (SELECT node FROM tn{top_levels}) r"
+    )
+
+
+@query("op11_merkle_manifest", _manifest_sql())
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return manifest.build(documents(spark, folder), even)
