@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, fingerprints, jaccard, lm, manifest, mixing, packing, pii, quality, sharding, suffix
+from riskloom.llm import exact, fingerprints, jaccard, lm, manifest, mixing, packing, pii, quality, sharding, suffix, whitening
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,8 @@ def _manifest_sql(levels: int = 16, top_levels: int = 8) -> str:
 def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     return manifest.build(documents(spark, folder), even)
+
+
+@query("op13_qd_whitening")
+def qd_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet"))
