@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact, fingerprints, jaccard, lm, manifest, mixing, packing, pii, quality, sharding, suffix, whitening
+from riskloom.llm import exact, fingerprints, jaccard, lm, manifest, mixing, packing, pii, quality, registers, sharding, suffix, whitening
 from riskloom.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,22 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_qd_whitening")
 def qd_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet"))
+
+
+@query(
+    "op12_hyperminhash",
+    """
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+    r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a),
+    m AS (SELECT node, min(seen) AS least FROM r GROUP BY node)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.least AS component_id, d.doc_id = m.least AS kept
+    FROM documents d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+    """,
+)
+def hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return registers.near_copies(documents(spark, folder), width=2, percent=80)
