@@ -8,10 +8,11 @@ pairs are dropped by size, then by the share of equal registers, corrected for r
 and what is left is confirmed on the full sets. Band width follows from the wanted similarity: a pair at it
 shares no band with a probability of `MISS` at most. Documents with equal sets are one class from the start.
 
-A bucket of many classes is not turned into all its pairs. In the first turn, over some of the bands, its members are
-compared with one of them. Then components are known, and only buckets that still hold several of them are
-opened: the members outside a bucket's largest component are the ones to be compared with the others, first a
-few of them and in each further turn `GROWTH` times as many, until each was, or its component has joined.
+A bucket of many classes is not turned into all its pairs. In the first turn, over some of the bands, its members
+are compared with the one that meets most others. Then components are known, and only buckets that still hold
+several of them are opened. In `CENTRES` turns, members outside a bucket's largest component are compared with
+one member of it. Those still outside are compared with the members they share one of their rarest shingles
+with, where its places leave room for a link; this loses no pair.
 
 Defined results: a null text, or one without words, has an empty set, links with nothing and is its own
 component; a text of fewer words than a shingle is one shingle; a null id has no say in a component's smallest
@@ -27,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,8 +42,10 @@ REGISTERS = 1 << PLACE_BITS
 MISS = 1e-6
 #: An estimate may be so much below the wanted similarity: more than five standard deviations.
 MARGIN = 0.2
-#: Bands of the first turn, and how the number of members to compare with grows.
-FIRST_BANDS, GROWTH = 8, 8
+#: Bands of the first turn, and further turns against single members of the largest component.
+FIRST_BANDS, CENTRES = 8, 1
+#: Classes whose texts are fetched by a broadcast of their ids, some 40 bytes each.
+BROADCAST_ROWS = 200_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -162,6 +165,15 @@ def _reader(width: int):
     return read
 
 
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in byte_slices(batches, "own"):
+        sets = batch.column("own").cast(pa.large_binary())
+        bounds = np.frombuffer(sets.buffers()[1], np.int64)[sets.offset : sets.offset + len(sets) + 1]
+        flat = np.frombuffer(sets.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]].view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(((bounds - bounds[0]) // 8).astype(np.int32)), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([batch.column("class"), lists], ["class", "shingles"])
+
+
 @F.pandas_udf(T.DoubleType())
 def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(estimate(_pieces(a.tolist(), np.uint16).reshape(-1, REGISTERS), _pieces(b.tolist(), np.uint16).reshape(-1, REGISTERS)))
@@ -178,11 +190,6 @@ def _entries(classes: DataFrame, bands: range, rows: int, *columns: str) -> Data
     return classes.select("class", "n", *columns, F.explode(F.array(*keys)).alias("bucket"))
 
 
-def _near_roots(links: DataFrame) -> DataFrame:
-    """(node, root): one step up the links; the same root means the same component, not the reverse."""
-    return links.groupBy(F.greatest("a", "b").alias("node")).agg(F.min(F.least("a", "b")).alias("root"))
-
-
 class _Comparer:
     """Confirms pairs of classes: sizes, estimates, then sets; every pair once."""
 
@@ -192,37 +199,34 @@ class _Comparer:
         self.tested = self.links = spark.createDataFrame([], "a long, b long")
         self.bodies = spark.createDataFrame([], "class long, own binary")
 
-    def sizes_allow(self, n: Column, m: Column) -> Column:
-        return 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
-
-    def _sets_of(self, pairs: DataFrame) -> DataFrame:
-        """The sets of the pairs' classes, read from the texts once each."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(self.bodies, "class", "left_anti")
-        first = wanted.join(self.classes, "class").select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
+    def sets_of(self, classes: DataFrame) -> DataFrame:
+        """The sets of these classes, and of those asked for before; a text is read once."""
+        wanted = classes.distinct().join(self.bodies, "class", "left_anti")
+        first = staged(wanted.join(self.classes, "class").select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash")), "wanted")
+        if first.count() <= BROADCAST_ROWS:  # else the texts are exchanged by their ids
+            first = F.broadcast(first)
         rows = self.texts.join(first, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("class", "text")
         found = rows.mapInArrow(_reader(self.width), "class long, own binary").groupBy("class").agg(F.first("own").alias("own"))
         self.bodies = self.bodies.unionAll(staged(found, "sets"))
         return self.bodies
 
-    def compare(self, pairs: DataFrame) -> None:
-        """`pairs` has a > b with sizes n and m; adds those that link to `links`."""
+    def compare(self, led: DataFrame) -> None:
+        """`led` has pairs of classes (class, lead) and their sizes n and m; adds those that link to `links`."""
+        swap = F.col("class") < F.col("lead")
+        sizes = [F.when(swap, F.col("m")).otherwise(F.col("n")).alias("n"), F.when(swap, F.col("n")).otherwise(F.col("m")).alias("m")]
+        pairs = led.where(f"100 * least(n, m) >= {self.percent} * greatest(n, m)").select(F.greatest("class", "lead").alias("a"), F.least("class", "lead").alias("b"), *sizes)
         pairs = pairs.distinct().join(self.tested, ["a", "b"], "left_anti")
         sides = [self.classes.select(F.col("class").alias(s), F.col("signature").alias(f"signature_{s}")) for s in "ab"]
         pairs = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("similar", _similar("signature_a", "signature_b"))
         pairs = staged(pairs.where(F.col("similar") >= self.percent / 100 - MARGIN).select("a", "b", "n", "m"), "candidates")
         if not pairs.isEmpty():
-            bodies = self._sets_of(pairs)
+            bodies = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("class")))
             full = pairs.join(bodies.select(F.col("class").alias("b"), F.col("own").alias("own_b")), "b").join(bodies.select(F.col("class").alias("a"), F.col("own").alias("own_a")), "a")
             found = full.withColumn("common", _common("own_a", "own_b")).where(100 * F.col("common") >= self.percent * (F.col("n") + F.col("m") - F.col("common")))
             self.links = self.links.unionAll(staged(found.select("a", "b"), "links"))
         self.tested = self.tested.unionAll(pairs.select("a", "b"))
 
 
-def _ordered(a: str, b: str, n: str, m: str) -> list[Column]:
-    swap = F.col(a) < F.col(b)
-    return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b"), F.when(swap, F.col(m)).otherwise(F.col(n)).alias("n"), F.when(swap, F.col(n)).otherwise(F.col(m)).alias("m")]
-
-
 def _open_buckets(entries: DataFrame) -> DataFrame:
     """The entries of buckets with several labels."""
     several = entries.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
@@ -233,6 +237,26 @@ def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.drop("label").join(roots, rows["class"] == roots["node"], "left").withColumn("label", F.coalesce("root", "class")).drop("node", "root")
 
 
+def _by_prefix(comparer: _Comparer, marked: DataFrame) -> DataFrame:
+    """Pairs of different labels in open buckets that may link by their rarest shingles.
+
+    Similar sets share one of the first shingles of both in any common order, and from its places follows how
+    much they can share at most. Copies that keep apart have enough shingles of their own to meet nobody there.
+    """
+    percent = comparer.percent
+    members = staged(marked.groupBy("class", "n", "label").agg(F.max(F.col("label") != F.col("main")).alias("outside")), "outside")
+    sets = comparer.sets_of(members.select("class")).mapInArrow(_unpack, "class long, shingles array<long>")
+    rows = staged(sets.join(members.select("class"), "class", "left_semi").select("class", F.explode("shingles").alias("shingle")), "shingles")
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("c"))
+    place = F.row_number().over(Window.partitionBy("class").orderBy("c", "shingle")) - 1
+    placed = rows.join(counts, "shingle").withColumn("place", place).where("c > 1").join(members, "class")
+    prefixes = staged(placed.where(f"100 * place <= (100 - {percent}) * n").drop("c"), "prefixes")
+    left = prefixes.where("outside").drop("outside")
+    right = prefixes.select("shingle", F.col("class").alias("lead"), F.col("n").alias("m"), F.col("label").alias("lead_label"), F.col("place").alias("lead_place"))
+    most = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("lead_place"))
+    return left.join(right, "shingle").where(F.col("label") != F.col("lead_label")).where((100 + percent) * most >= percent * (F.col("n") + F.col("m"))).select("class", "lead", "n", "m")
+
+
 def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row its set's size, `component_id`, the smallest id reachable by links, and whether it is `kept`."""
     rows = band_rows(percent)
@@ -246,25 +270,28 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     comparer = _Comparer(texts, indexed, width, percent)
 
     members = _entries(indexed, range(min(FIRST_BANDS, bands)), rows)
-    leads = members.groupBy("bucket").agg(F.min(F.struct("class", "n")).alias("lead"), F.count("*").alias("members")).where("members > 1")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
+    members = staged(members.join(shared, "bucket"), "members")
+    central = staged(members.groupBy("class").agg(F.sum("met").alias("score")), "scores")
+    members = members.join(central, "class")
+    leads = members.groupBy("bucket").agg(F.max(F.struct("score", "class", "n")).alias("lead"))
     led = members.join(leads, "bucket").select("class", "n", F.col("lead.class").alias("lead"), F.col("lead.n").alias("m"))
-    comparer.compare(led.where(F.col("class") > F.col("lead")).where(comparer.sizes_allow(F.col("n"), F.col("m"))).select(*_ordered("class", "lead", "n", "m")))
-
-    open_ = _open_buckets(_entries(_labelled(indexed, staged(_near_roots(comparer.links), "roots")), range(bands), rows, "label"))
-    most = GROWTH
-    while not open_.isEmpty():
-        sizes = open_.groupBy("bucket", "label").agg(F.count("*").alias("c")).groupBy("bucket")
-        sizes = sizes.agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all")).select("bucket", F.col("top.label").alias("main"), (F.col("all") - F.col("top.c")).alias("outside"))
-        marked = staged(open_.join(sizes, "bucket"), "marked")
-        chosen = marked.where("label <> main").where(F.pmod(F.xxhash64("class", "bucket"), F.col("outside")) < most)
-        chosen = chosen.select("bucket", F.col("class").alias("lead"), F.col("n").alias("m"), F.col("label").alias("lead_label"))
-        led = marked.join(chosen, "bucket").where(F.col("label") != F.col("lead_label")).where(comparer.sizes_allow(F.col("n"), F.col("m")))
-        comparer.compare(led.select(*_ordered("class", "lead", "n", "m")))
-        left = marked.where(f"outside > {most}").select("bucket", "class", "n")
-        if left.isEmpty():
+    comparer.compare(led.where(F.col("class") != F.col("lead")))
+
+    scored = indexed.select("class", "n", "signature").join(central, "class", "left")
+    open_ = _open_buckets(_entries(_labelled(scored, components(comparer.links)), range(bands), rows, "label", "score"))
+    for turn in range(CENTRES + 1):
+        if open_.isEmpty():
+            break
+        sizes = open_.groupBy("bucket", "label").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("top"))
+        marked = staged(open_.join(sizes.select("bucket", F.col("top.label").alias("main")), "bucket"), "marked")
+        if turn == CENTRES:
+            comparer.compare(_by_prefix(comparer, marked))
             break
-        open_ = _open_buckets(_labelled(left, components(comparer.links)))
-        most *= GROWTH
+        order = F.struct(F.xxhash64("class", F.lit(turn)) if turn else F.col("score"), "class", "n")
+        chosen = marked.where("label = main").groupBy("bucket").agg(F.max(order).alias("lead")).select("bucket", F.col("lead.class").alias("lead"), F.col("lead.n").alias("m"))
+        comparer.compare(marked.where("label <> main").join(chosen, "bucket"))
+        open_ = _open_buckets(_labelled(marked.select("bucket", "class", "n", "score"), components(comparer.links)))
 
     roots = components(comparer.links)
     named = classes.join(roots, classes["class"] == roots["node"], "left").select("h1", "h2", "n", "least_id", F.coalesce("root", "class").alias("label"))

@@ -77,10 +77,12 @@ def test_near_copies(spark, width, percent):
     assert collections.Counter(tuple(r) for r in got.collect()) == brute(rows, width, percent)
 
 
-def test_many_turns(spark, monkeypatch):
-    """Opening buckets member by member comes to the same components."""
-    monkeypatch.setattr(registers, "GROWTH", 2)
-    monkeypatch.setattr(registers, "FIRST_BANDS", 1)
+@pytest.mark.parametrize(("first", "centres"), [(1, 0), (1, 1), (8, 3)])
+def test_turns(spark, monkeypatch, first, centres):
+    """However much is left to the rarest shingles, the components are the same."""
+    monkeypatch.setattr(registers, "FIRST_BANDS", first)
+    monkeypatch.setattr(registers, "CENTRES", centres)
+    monkeypatch.setattr(registers, "BROADCAST_ROWS", 0)
     rows = make_rows()
     got = registers.near_copies(spark.createDataFrame(rows, SCHEMA), width=2)
     assert collections.Counter(tuple(r) for r in got.collect()) == brute(rows, 2, 80)
