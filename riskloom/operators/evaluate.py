@@ -75,7 +75,7 @@ def ranking_quality(
     """
     base = df.select(*by, F.col(score).alias("score"), F.col(y).cast("bigint").alias("pos"), F.lit(1).cast("bigint").alias("n"))
     tied = base.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
-    cumulative = running_sums(tied, ["-score"], {"tp": "pos", "k": "n"}, by=by, source=base, ranges=ranges)
+    cumulative = running_sums(tied, ["-score"], {"tp": "pos", "k": "n"}, by=by, ranges=ranges)
     pos, tp, n = (F.col(c).cast("double") for c in ("pos", "tp", "n"))
     positives, negatives = F.sum(pos), F.sum(n - pos)
     return _grouped(cumulative, by).agg(

@@ -1,18 +1,17 @@
 """Global order without a single-task window.
 
-A sample of the order key gives range bounds; every row finds its range by
-comparing with the bounds, so the range of a row is a plain function of the row
-and a recomputed task places it as before. Ranks and running sums are then a
-per-range window plus one offset per range. The number of ranges is limited, so
-bounds and offsets are small whatever the table holds.
+Spark's range exchange deals the rows over tasks by the order keys, every task sorts its own rows, and the result
+is written to the shared folder with the place of each row in its task. From then on a row's range is a stored
+value: counts and totals per range give offsets, and a lost task reads the same rows again. Nothing is gathered
+but one number a range. Equal keys need not stay in one range, as a hash of the row and its place in the input
+follow the keys in the order of positions.
 """
 
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,10 +19,8 @@ from pyspark.sql import types as T
 
 from riskloom.session import stage_table
 
-MAX_RANGES = 4096
-ROWS_PER_RANGE = 2_000_000
-SAMPLES_PER_RANGE = 24
 TOP_ROWS = 10_000  # above this a limit is taken by position, not gathered in one task
+AT, RANGE = "_at", "_range"
 
 
 @dataclass(frozen=True)
@@ -39,107 +36,36 @@ def keys(*specs: str | Key) -> list[Key]:
     return [s if isinstance(s, Key) else Key(s.lstrip("-"), s.startswith("-")) for s in specs]
 
 
-def _comparable(df: DataFrame, key: Key) -> tuple[Column, str]:
-    kind = df.schema[key.name].dataType
-    value = F.col(key.name)
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        value, sql_type = F.timestamp_diff("MICROSECOND", origin, value.cast("timestamp_ntz")), "bigint"
-    elif isinstance(kind, (T.DoubleType, T.FloatType)):
-        value, sql_type = value.cast("double"), "double"
-    elif isinstance(kind, (T.IntegralType, T.BooleanType)):
-        value, sql_type = value.cast("bigint"), "bigint"
-    elif isinstance(kind, T.DecimalType):
-        sql_type = f"decimal({kind.precision},{kind.scale})"
-    else:
-        value, sql_type = value.cast("string"), "string"
-    if key.descending:
-        if sql_type == "string":
-            raise ValueError(f"descending order needs a number or a time, not {key.name}")
-        value = -value
-    return value, sql_type
-
+def sort_columns(df: DataFrame, order: Sequence[str | Key]) -> list[Column]:
+    """Sort expressions of an order: missing values last, values that are no numbers before them."""
+    columns = []
+    for key in keys(*order):
+        value = F.col(key.name)
+        if key.descending and isinstance(df.schema[key.name].dataType, (T.DoubleType, T.FloatType)):
+            value = -value  # a value that is no number stays the largest
+        elif key.descending:
+            columns.append(value.desc_nulls_last())
+            continue
+        columns.append(value.asc_nulls_last())
+    return columns
 
-def _json(value: object) -> str:
-    return json.dumps(value, default=str)
 
+def in_ranges(df: DataFrame, order: Sequence[str | Key], label: str, *, ranges: int | None = None, spread_ties: bool = False) -> DataFrame:
+    """The rows, written in ranges of an order, with `_range` and with `_at`, which rises along the order.
 
-@dataclass(frozen=True)
-class RangePlan:
-    """Bounds fitted on a sample, and what is needed to place a row among them."""
-
-    order: tuple[Key, ...]
-    fields: tuple[tuple[Column, Column], ...] = field(repr=False)
-    schema: str = ""
-    bounds: tuple[tuple, ...] = field(default=(), repr=False)
-
-    @property
-    def ranges(self) -> int:
-        return len(self.bounds) + 1
-
-    def sort_columns(self) -> list[Column]:
-        return [c for pair in self.fields for c in pair]
-
-    def place(self) -> Column:
-        """Number of bounds at or below the row's key: 0 .. ranges-1, found in two short steps."""
-        if not self.bounds:
-            return F.lit(0)
-        width = math.ceil(math.sqrt(len(self.bounds)))
-        names = [f"k{i}" for i in range(2 * len(self.order))]
-        rows = [dict(zip(names, b, strict=True)) for b in self.bounds]
-        blocks = [{"b": rows[i : i + width]} for i in range(0, len(rows), width)]
-        element = f"array<struct<{self.schema}>>"
-        heads = F.from_json(F.lit(_json([b["b"][0] for b in blocks])), element)
-        inner = F.from_json(F.lit(_json(blocks)), f"array<struct<b:{element}>>")
-        key = F.struct(*[c.alias(n) for c, n in zip(self.sort_columns(), names, strict=True)])
-
-        def locate(k: Column) -> Column:
-            block = F.array(F.size(F.filter(heads, lambda h: h <= k)))
-            return F.element_at(F.transform(block, lambda j: within(j, k)), 1)
-
-        def within(block: Column, k: Column) -> Column:
-            members = F.element_at(inner, F.greatest(block, F.lit(1))).getField("b")
-            return F.when(block == 0, 0).otherwise((block - 1) * width + F.size(F.filter(members, lambda b: b <= k)))
-
-        # The arrays of one element bind a value, so that it is worked out once per row.
-        return F.element_at(F.transform(F.array(key.cast(f"struct<{self.schema}>")), locate), 1)
-
-
-def fit_ranges(
-    df: DataFrame,
-    order: Sequence[str | Key],
-    *,
-    rows: int | None = None,
-    ranges: int | None = None,
-    seed: int = 17,
-) -> RangePlan:
-    """Choose range bounds for an order. Reads the key columns only (a count and a sample)."""
-    order = tuple(keys(*order))
-    typed = [_comparable(df, k) for k in order]
-    # The first column of a pair orders missing keys after present ones.
-    fields = tuple((F.col(k.name).isNull().cast("int"), v) for k, (v, _) in zip(order, typed, strict=True))
-    schema = ",".join(f"k{2 * i}:int,k{2 * i + 1}:{t}" for i, (_, t) in enumerate(typed))
-    if rows is None:
-        rows = df.count()
-    if ranges is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = max(partitions, math.ceil(rows / ROWS_PER_RANGE))
-    ranges = max(1, min(ranges, MAX_RANGES, rows))
-    empty = RangePlan(order, fields, schema)
-    if ranges == 1:
-        return empty
-    wanted = ranges * SAMPLES_PER_RANGE
-    probe = df.select(*[c.alias(f"k{i}") for i, c in enumerate(empty.sort_columns())])
-    if rows > wanted:
-        probe = probe.sample(fraction=min(1.0, 1.2 * wanted / rows), seed=seed)
-    # The sample is bounded by ranges * SAMPLES_PER_RANGE whatever the table size.
-    sample = [tuple(r) for r in probe.orderBy(*probe.columns).collect()]
-    cuts = sorted({math.floor(len(sample) * i / ranges) for i in range(1, ranges)})
-    bounds: list[tuple] = []
-    for c in cuts:
-        if sample and (not bounds or bounds[-1] != sample[c]):
-            bounds.append(sample[c])
-    return RangePlan(order, fields, schema, tuple(bounds))
+    One exchange. The number of ranges is that of the session's shuffle partitions, if `ranges` is not given.
+    `spread_ties` continues the order with a hash of the row, then with the row's place in the input, so
+    that neither equal keys nor equal rows have to share a range.
+    """
+    columns = sort_columns(df, order)
+    rows = df
+    if spread_ties:
+        hashable = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+        rows = df.withColumn("_tie", F.xxhash64(*hashable)).withColumn("_input", F.monotonically_increasing_id())
+        columns = [*columns, F.col("_tie"), F.col("_input")]
+    dealt = rows.repartitionByRange(ranges, *columns) if ranges else rows.repartitionByRange(*columns)
+    placed = dealt.sortWithinPartitions(*columns).select(*df.columns, F.monotonically_increasing_id().alias(AT))
+    return stage_table(placed, label).withColumn(RANGE, F.shiftright(AT, 33).cast("int"))
 
 
 @dataclass(frozen=True)
@@ -156,26 +82,22 @@ def with_row_index(
     ranges: int | None = None,
     stage: bool = False,
 ) -> IndexedFrame:
-    """Add the 0-based position under a global order; the keys should make rows unique.
+    """Add the 0-based position under a global order; rows that tie in all keys follow a hash of the row.
 
-    One shuffle of the rows by range, none of them into a single task. The range
-    counts (at most MAX_RANGES numbers) go through the driver as offsets.
-    The input is read four times: a count, then key columns twice, then all of it. With
-    `stage` it is written first; ask for that when it is more than a scan.
+    The rows are exchanged once, written and read; the counts per range go through the driver as offsets.
+    The exchange reads the input twice, to choose its ranges and to deal the rows. With `stage` it is
+    written first; ask for that when it is more than a scan.
     """
     if stage:
         df = stage_table(df, f"unordered-{name}")
-    plan = fit_ranges(df, order, ranges=ranges)
-    placed = df.withColumn("_range", plan.place())
-    counts = {r["_range"]: r["n"] for r in placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, before = [], 0
-    for i in range(plan.ranges):
-        offsets.append(before)
-        before += counts.get(i, 0)
-    window = Window.partitionBy("_range").orderBy(*plan.sort_columns())
-    offset = F.element_at(F.from_json(F.lit(json.dumps(offsets)), "array<bigint>"), F.col("_range") + 1)
-    frame = placed.withColumn(name, F.row_number().over(window).cast("bigint") - 1 + offset).drop("_range")
-    return IndexedFrame(frame, before)
+    placed = in_ranges(df, order, f"ordered-{name}", ranges=ranges, spread_ties=True)
+    shifts, before = {}, 0
+    for r in placed.groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"), F.min(AT).alias("least")).orderBy(RANGE).collect():
+        shifts[r[RANGE]] = before - r["least"]
+        before += r["n"]
+    listed = [shifts.get(i, 0) for i in range(max(shifts, default=0) + 1)]
+    shift = F.element_at(F.from_json(F.lit(json.dumps(listed)), "array<bigint>"), F.col(RANGE) + 1)
+    return IndexedFrame(placed.withColumn(name, F.col(AT) + shift).drop(AT, RANGE), before)
 
 
 def running_sums(
@@ -184,31 +106,23 @@ def running_sums(
     sums: dict[str, str],
     *,
     by: Sequence[str] = (),
-    source: DataFrame | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums under a global order, per group of `by`.
 
     `sums` maps an output name to the column it accumulates. Groups of `by` may be of
-    any size: a group is cut into ranges as the whole table is. Where `df` is a grouped
-    form of a larger table, `source` (with the same key and value columns) lets bounds
-    and range totals come from there, so the grouping runs once only.
+    any size: a group is cut into ranges as the whole table is.
     """
-    base = df if source is None else source
-    plan = fit_ranges(base, [*by, *order], ranges=ranges)
-    place = [*by, "_range"]
-    placed = df.withColumn("_range", plan.place())
-    totals = base.withColumn("_range", plan.place()).groupBy(*place).agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
-    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    place = [*by, RANGE]
+    placed = in_ranges(df, [*by, *order], "running", ranges=ranges)
+    totals = placed.groupBy(*place).agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
+    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *place, *[F.coalesce(F.sum(f"_t_{o}").over(earlier), F.lit(0)).alias(f"_o_{o}") for o in sums]
+        *[F.col(c).alias(f"_j_{c}") for c in place], *[F.coalesce(F.sum(f"_t_{o}").over(earlier), F.lit(0)).alias(f"_o_{o}") for o in sums]
     )
-    local = Window.partitionBy(*place).orderBy(*plan.sort_columns()).rowsBetween(Window.unboundedPreceding, 0)
+    local = Window.partitionBy(*place).orderBy(AT).rowsBetween(Window.unboundedPreceding, 0)
     out = placed.select("*", *[F.sum(c).over(local).alias(f"_l_{o}") for o, c in sums.items()])
-    joined = out.join(offsets, on=place) if not by else out.join(
-        offsets.select(*[F.col(c).alias(f"_j_{c}") for c in place], *[f"_o_{o}" for o in sums]),
-        on=_null_safe(place),
-    )
+    joined = out.join(offsets, on=_null_safe(place))
     return joined.select(*df.columns, *[(F.col(f"_l_{o}") + F.col(f"_o_{o}")).alias(o) for o in sums])
 
 
@@ -248,9 +162,9 @@ def ordered_split(
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Key], limit: int | None) -> DataFrame:
-    """The first `limit` rows under an order; 0 or None keeps every row."""
+    """The first `limit` rows in an order, in that order; 0 or None keeps every row as it is."""
     if not limit or int(limit) <= 0:
         return df
     if int(limit) <= TOP_ROWS:
-        return df.orderBy(*fit_ranges(df, order, rows=0).sort_columns()).limit(int(limit))
-    return with_row_index(df, order, "_position").frame.filter(F.col("_position") < int(limit)).drop("_position")
+        return df.orderBy(*sort_columns(df, order)).limit(int(limit))
+    return with_row_index(df, order, "_position").frame.filter(F.col("_position") < int(limit)).orderBy("_position").drop("_position")

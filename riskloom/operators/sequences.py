@@ -27,7 +27,7 @@ from riskloom.functions import (
     to_time,
 )
 from riskloom.operators.clean import first_by_key, fill_numeric, map_labels
-from riskloom.operators.ordered import MAX_RANGES, fit_ranges
+from riskloom.operators.ordered import in_ranges
 from riskloom.operators.presets import ALERT_COLUMNS, ALERT_TRANSACTION_COLUMNS, TARGET
 from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.validate import require_columns, require_labels
@@ -311,12 +311,11 @@ def _regular(tx: DataFrame, tie: Sequence[str], cuts: SizeCuts) -> DataFrame:
 
 def _cut_context(tx: DataFrame, tie: Sequence[str], groups: DataFrame, ranges: int | None) -> DataFrame:
     """The context of whole_group_context for large alerts, worked out range by range."""
-    plan = fit_ranges(tx, [ID, TIME, *tie], ranges=ranges)
-    placed = tx.withColumn("_range", plan.place())
+    placed = in_ranges(tx, [ID, TIME, *tie], "large-alert-rows", ranges=ranges).drop("_at")
     position = F.struct(TIME, *tie)
     seen = F.struct(F.col(TIME).alias("t"), F.col("Entry").alias("e"), F.col("Type").alias("k"), F.col("Size").alias("s"))
     along = Window.partitionBy(ID).orderBy("_range")
-    # One row per large alert and range it touches: at most MAX_RANGES rows plus the large alerts.
+    # One row per large alert and range it touches: no more than the ranges plus the large alerts.
     edges = stage_table(
         placed.groupBy(ID, "_range")
         .agg(
@@ -421,8 +420,6 @@ def sequence_aggregates(
     names = F.broadcast(groups.select(ID))
     hot = tx.join(names, ID, "left_semi")
     regular = tx.join(names, ID, "left_anti")
-    if ranges is None and total > MAX_RANGES * hot_rows:
-        ranges = MAX_RANGES
     return _regular(regular, tie, cuts).unionByName(_cut(hot, tie, cuts, groups, ranges))
 
 

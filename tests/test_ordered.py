@@ -38,10 +38,29 @@ def test_descending_and_time_keys(spark):
 
 
 def test_hot_key_is_cut(spark):
+    """Rows that share one key, and even equal rows, are dealt over several ranges."""
     df, _ = sample(spark, 3000)
-    plan = ordered.fit_ranges(df, ["k", "x", "id"], ranges=20)
-    sizes = [r["count"] for r in df.groupBy(plan.place().alias("r")).count().collect()]
-    assert max(sizes) < 3000 / 3 / 2
+    for frame in (df.select("k", "id"), df.select(F.lit(1).alias("k"))):
+        placed = ordered.in_ranges(frame, ["k"], "hot", ranges=20, spread_ties=True)
+        sizes = [r["count"] for r in placed.where("k = 5 OR k = 1").groupBy("_range").count().collect()]
+        assert len(sizes) > 2 and max(sizes) < 3000 / 3 / 2
+
+
+def test_positions_repeat(spark):
+    """Without a tie key two runs, differently dealt, give every row the same position."""
+    df, _ = sample(spark)
+    one = ordered.with_row_index(df, ["k"], "pos").frame.collect()
+    other = ordered.with_row_index(df.repartition(7, "x"), ["k"], "pos", ranges=11).frame.collect()
+    assert sorted(r["pos"] for r in one) == list(range(997))
+    assert {r["id"]: r["pos"] for r in one} == {r["id"]: r["pos"] for r in other}
+
+
+def test_one_exchange_of_the_rows(spark, folder):
+    """Reading positions takes a scan of what was written: no exchange, no window."""
+    df, _ = sample(spark)
+    df.write.parquet(f"{folder}/t")
+    plan = ordered.with_row_index(spark.read.parquet(f"{folder}/t"), ["k"], "pos").frame._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
 
 
 def test_empty_and_single_row(spark):
@@ -60,6 +79,14 @@ def test_running_sums_by_group(spark):
         assert r["upto"] == sum(1 for i, k, x in rows if k == r["k"] and x is not None and x <= r["x"])
 
 
+def test_descending_texts_and_numbers_that_are_none(spark):
+    df = spark.createDataFrame([(1, "b", 2.0), (2, None, float("nan")), (3, "a", None), (4, "b", 1.0)], "id long, t string, x double")
+    by = lambda *order: [r["id"] for r in ordered.with_row_index(df, order, "pos").frame.orderBy("pos").collect()]
+    assert by("-t", "id") == [1, 4, 3, 2]
+    assert by("x") == [4, 1, 2, 3]
+    assert by("-x") == [1, 4, 2, 3]
+
+
 def test_split_parts_follow_position(spark):
     df = spark.range(103)
     parts = {r["split"]: r["count"] for r in ordered.ordered_split(df, ["id"]).groupBy("split").count().collect()}
@@ -75,7 +102,7 @@ def test_first_rows(spark, limit, want):
 
 def test_first_rows_beyond_one_task(spark, monkeypatch):
     monkeypatch.setattr(ordered, "TOP_ROWS", 5)
-    assert sorted(r["id"] for r in ordered.first_rows(spark.range(50), ["id"], 20).collect()) == list(range(20))
+    assert [r["id"] for r in ordered.first_rows(spark.range(50).repartition(3), ["-id"], 20).collect()] == list(range(49, 29, -1))
 
 
 @pytest.mark.parametrize("small", [10, 100_000])
