@@ -140,15 +140,6 @@ def background_rows(df: DataFrame, order: Sequence[str], rows: int = BACKGROUND_
     return first_rows(df, order, rows)
 
 
-def linear_contributions(vector: Column, coefficients: Sequence[float], means: Sequence[float]) -> Column:
-    """coefficient * (value - background mean) per encoded feature, as an array."""
-    weights = F.array(*[F.lit(float(c)) for c in coefficients])
-    centres = F.array(*[F.lit(float(m)) for m in means])
-    return F.zip_with(
-        F.zip_with(vector_to_array(vector), centres, lambda x, m: x - m), weights, lambda d, w: d * w
-    )
-
-
 def folded_factors(
     parts: Sequence[Column], names: Sequence[str], categories: Sequence[str] = tuple(APPLICATION_CATEGORIES)
 ) -> Column:
@@ -161,12 +152,6 @@ def folded_factors(
     return F.transform(F.sort_array(keyed), lambda f: factor(f["n"], f["v"]))
 
 
-def linear_parts(values: str, coefficients: Sequence[float], means: Sequence[float]) -> list[Column]:
-    """coefficient * (value - background mean), one column per element of an array column."""
-    x = F.col(values)
-    return [(x[i] - F.lit(float(m))) * F.lit(float(c)) for i, (c, m) in enumerate(zip(coefficients, means, strict=True))]
-
-
 def long_contributions(df: DataFrame, row_id: str, contributions: str, names: Sequence[str]) -> DataFrame:
     """Contribution arrays as long rows (row id, encoded feature, value)."""
     labels = F.array(*[F.lit(n) for n in names])

@@ -8,20 +8,20 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
+from functools import cached_property
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators import compiled
+from riskloom.operators.attribution import Attribution, contributions
 from riskloom.operators.evaluate import evaluate_scores
 from riskloom.operators.explain import (
     background_means,
     background_rows,
     folded_factors,
-    linear_contributions,
-    linear_parts,
 )
 from riskloom.operators.ordered import ordered_split
 from riskloom.operators.prep import (
@@ -38,7 +38,7 @@ from riskloom.operators.validate import require_columns
 from riskloom.session import shared_folder, spread, stage_table
 
 # Candidates: boosted trees with balanced class weights, boosted trees with a positive-class
-# weight, and a linear model whose scores can be explained exactly.
+# weight, and a linear model.
 TREES_BALANCED = "trees_balanced"
 TREES_POSITIVE = "trees_positive"
 LINEAR = "linear"
@@ -89,50 +89,80 @@ class ModelBundle:
         require_columns(df, self.inputs, "scoring input")
         return self.pipeline.transform(impute(df, self.number_fill, self.text_fill, _IN))
 
-    def score_columns(self) -> dict:
-        probability = vector_to_array("probability")[1]
-        return {SCORE: probability, LABEL: (probability >= self.threshold).cast("int")}
+    @cached_property
+    def features(self) -> list[compiled.Feature]:
+        """The encoded features, as expressions over the filled inputs."""
+        names = [[f"{_IN}{c}" for c in part] for part in (self.numerical, self.categorical)]
+        return compiled.encoded_features(self.pipeline.stages, *names)
+
+    @cached_property
+    def trees(self) -> list[tuple[float, compiled.Node]]:
+        return compiled.read_trees(self.pipeline.stages[-1], SparkSession.getActiveSession())
+
+    def _filled(self, df: DataFrame) -> DataFrame:
+        require_columns(df, self.inputs, "scoring input")
+        return impute(df, self.number_fill, self.text_fill, _IN)
+
+    def _scored(self, filled: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """The filled rows' columns with score and label, by column expressions alone."""
+        if self.kind == LINEAR:
+            margin = compiled.linear_margin(self.features, self.linear.coefficients, self.linear.intercept)
+        else:
+            inputs = compiled.tree_inputs(self.features, self.trees)
+            filled = filled.select(*columns, *[c.alias(n) for n, c in inputs.items()])
+            margin = 2 * compiled.tree_margin(self.trees)
+        scored = filled.select(*columns, compiled.logistic(margin).alias(SCORE))
+        return scored.withColumn(LABEL, (F.col(SCORE) >= self.threshold).cast("int"))
 
     def score(self, df: DataFrame) -> DataFrame:
         """All input columns plus score and label."""
-        return self.encode(df).select(*df.columns, *[c.alias(n) for n, c in self.score_columns().items()])
+        return self._scored(self._filled(df), df.columns)
 
     @property
     def linear(self):
         if self.kind != LINEAR:
-            raise ValueError("only the linear model has exact additive contributions")
+            raise ValueError("only the linear model has coefficients")
         return self.pipeline.stages[-1]
 
     def means(self, df: DataFrame, order: Sequence[str]) -> list[float]:
-        """Background means of the first rows; only those rows are encoded."""
+        """Background means of the first rows; only those rows are encoded. Trees carry their own background."""
+        if self.kind != LINEAR:
+            return []
         first = background_rows(df.select(*dict.fromkeys([*order, *self.inputs])), order)
         return background_means(self.encode(first), len(self.feature_names))
 
+    @cached_property
+    def attribution(self) -> Attribution:
+        """Contributions of the trees to the log-odds."""
+        return Attribution(self.trees, len(self.features), 2.0)
+
+    def _contributions(self, means: Sequence[float]) -> Column:
+        """One number for each encoded feature: parts of the log-odds, as an array."""
+        values = [f.value() for f in self.features]
+        if self.kind == LINEAR:
+            return F.array(*[(v - F.lit(float(m))) * F.lit(float(c)) for v, c, m in zip(values, self.linear.coefficients, means, strict=True)])
+        return contributions(self.attribution, values)
+
     def explain(self, df: DataFrame, order: Sequence[str], background: DataFrame | None = None) -> DataFrame:
-        """Scored rows with their folded factors, against the mean of the first rows of the background."""
-        means = self.means(df if background is None else background, order)
-        return self.explained(df, means).select(
-            *df.columns, *[c.alias(n) for n, c in self.score_columns().items()], "factors"
-        )
+        """Scored rows with their folded factors; for the linear model against the mean of the first rows of the background."""
+        return self.explained(df, self.means(df if background is None else background, order))
 
     def explained(self, df: DataFrame, means: Sequence[float]) -> DataFrame:
-        """The encoded rows with their factors against given background means."""
-        encoded = self.encode(df).withColumn("_values", vector_to_array("features"))
-        parts = linear_parts("_values", list(self.linear.coefficients), means)
-        return encoded.withColumn("factors", folded_factors(parts, self.feature_names))
+        """Scored rows with their factors, for the linear model against given background means."""
+        filled = self._filled(df).withColumn("_parts", self._contributions(means))
+        scored = self._scored(filled, [*df.columns, "_parts"])
+        parts = [F.col("_parts")[i] for i in range(len(self.features))]
+        return scored.withColumn("factors", folded_factors(parts, self.feature_names)).drop("_parts")
 
     def contributions(self, df: DataFrame, order: Sequence[str], row_id: str, name: str = "contributions") -> DataFrame:
         """Row id and the contribution of every encoded feature, as an array."""
-        means = self.means(df, order)
-        return self.encode(df).select(
-            row_id, linear_contributions(F.col("features"), list(self.linear.coefficients), means).alias(name)
-        )
+        return self._filled(df).select(row_id, self._contributions(self.means(df, order)).alias(name))
 
     def save(self, path: str) -> str:
         spark = SparkSession.getActiveSession()
         base = path.rstrip("/")
         self.pipeline.write().overwrite().save(f"{base}/model")
-        meta = {k: v for k, v in self.__dict__.items() if k != "pipeline"}
+        meta = {k: v for k, v in self.__dict__.items() if k not in ("pipeline", "features", "trees", "attribution")}
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/meta")
         return path
 
