@@ -104,14 +104,12 @@ class ModelBundle:
         return impute(df, self.number_fill, self.text_fill, _IN)
 
     def _scored(self, filled: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """The filled rows' columns with score and label, by column expressions alone."""
+        """The given columns of the filled rows with score and label."""
         if self.kind == LINEAR:
-            margin = compiled.linear_margin(self.features, self.linear.coefficients, self.linear.intercept)
+            rows, margin = filled, compiled.linear_margin(self.features, self.linear.coefficients, self.linear.intercept)
         else:
-            inputs = compiled.tree_inputs(self.features, self.trees)
-            filled = filled.select(*columns, *[c.alias(n) for n, c in inputs.items()])
-            margin = 2 * compiled.tree_margin(self.trees)
-        scored = filled.select(*columns, compiled.logistic(margin).alias(SCORE))
+            rows, margin = compiled.tree_scores(self.pipeline.stages[-1], filled, columns, self.features), F.col("_margin")
+        scored = rows.select(*columns, compiled.logistic(margin).alias(SCORE))
         return scored.withColumn(LABEL, (F.col(SCORE) >= self.threshold).cast("int"))
 
     def score(self, df: DataFrame) -> DataFrame:
