@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import (
@@ -28,7 +28,8 @@ from riskloom.operators.presets import (
 )
 
 STEP_MINUTES = 5
-LAST_CLOCK_DAY = 100_000_000  # days a timestamp can hold from 2024 on, rounded down
+LAST_CLOCK_DAY = 100_000_000  # days a timestamp can hold from 1970 on, rounded down
+CALENDAR_CYCLE = 146_097  # days of 400 years
 
 
 @dataclass
@@ -42,23 +43,39 @@ class FeatureBuild:
     rows: int | None = None
 
 
-def add_event_time(df: DataFrame, index: str = "event_id") -> DataFrame:
-    """A synthetic clock: first of the month in 2024, plus days since request, plus five minutes per position.
+def _clock(index: str) -> tuple[Column, Column]:
+    """Days since 1970 and minutes of the day: first of the month in 2024, days since request, five minutes per position.
 
     The month number is used as month-1 but never below January, and is set, not added.
-    Positions beyond what a timestamp can hold get a null time.
     """
     month = F.greatest(F.greatest(F.coalesce(F.col("month"), F.lit(1)).cast("int"), F.lit(1)) - 1, F.lit(1))
     days = F.greatest(F.coalesce(F.col("days_since_request"), F.lit(0)).cast("int"), F.lit(0))
-    minutes = F.col(index) * STEP_MINUTES
-    whole_days = F.floor(minutes / 1440)
-    zero = F.lit(0)
-    start = F.make_timestamp_ntz(F.lit(2024), month, F.lit(1), zero, zero, zero)
-    shift = F.make_dt_interval(whole_days.cast("int") + days, zero, (minutes % 1440).cast("int"))
-    return df.withColumn(EVENT_TIME, F.when(whole_days < LAST_CLOCK_DAY, start + shift))
+    minutes = F.col(index).cast("bigint") * STEP_MINUTES
+    start = F.unix_date(F.make_date(F.lit(2024), month, F.lit(1)))
+    return start.cast("bigint") + days + F.floor(minutes / 1440), F.pmod(minutes, F.lit(1440))
+
+
+def _moment(days: Column, minutes: Column) -> Column:
+    origin = F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return origin + F.make_dt_interval(days.cast("int"), F.lit(0), minutes.cast("int"))
+
+
+def add_event_time(df: DataFrame, index: str = "event_id") -> DataFrame:
+    """A synthetic clock, five minutes a position. Positions beyond what a timestamp can hold get a null time."""
+    days, minutes = _clock(index)
+    return df.withColumn(EVENT_TIME, F.when(days < LAST_CLOCK_DAY, _moment(F.least(days, F.lit(LAST_CLOCK_DAY)), minutes)))
+
+
+def time_of_cycle(index: str = "event_id") -> Column:
+    """A time of the clock's hour, day of month and weekday, within the first 400 years after 1970.
+
+    The calendar repeats after 146,097 days, which are whole weeks, so this holds however far the clock has run.
+    """
+    days, minutes = _clock(index)
+    return _moment(F.pmod(days, F.lit(CALENDAR_CYCLE)), minutes)
 
 
-def add_calendar(df: DataFrame, time: str = EVENT_TIME, prefix: str = "event_") -> DataFrame:
+def add_calendar(df: DataFrame, time: str | Column = EVENT_TIME, prefix: str = "event_") -> DataFrame:
     hour, weekday = F.col(f"{prefix}hour"), F.col(f"{prefix}day_of_week")
     out = df.withColumns(
         {
@@ -197,7 +214,7 @@ def row_features(df: DataFrame, index: str = "event_id") -> DataFrame:
     """Everything that follows from one row once its position is known."""
     return (
         add_event_time(df, index)
-        .transform(add_calendar)
+        .transform(lambda d: add_calendar(d, time_of_cycle(index)))
         .transform(add_missing_flags)
         .transform(add_ratios)
         .transform(add_interactions)

@@ -114,11 +114,14 @@ def require_binary_target(df: DataFrame, target: str = TARGET) -> DataFrame:
         raise ValidationError(f"target column '{target}' is missing")
     found = df.where(F.col(target).isNotNull() & ~F.coalesce(F.col(target).try_cast("double").isin(0.0, 1.0), F.lit(False)))
     if not found.isEmpty():
-        shown = _of_all(target_values(df, target), df.select(target).where(F.col(target).isNotNull()).distinct().count())
-        raise ValidationError(f"target column '{target}' must hold 0 and 1 only, found {shown}")
+        raise ValidationError(f"target column '{target}' must hold 0 and 1 only, found {_shown_targets(df, target)}")
     return df
 
 
+def _shown_targets(df: DataFrame, target: str) -> str:
+    return _of_all(target_values(df, target), df.select(target).where(F.col(target).isNotNull()).distinct().count())
+
+
 def _of_all(values: list, count: int) -> str:
     """The values for a message, with their real number where more exist."""
     return f"{values}" if count <= len(values) else f"{values} and {count - len(values)} more"
@@ -142,7 +145,7 @@ def full_validation(
     if target not in df.columns:
         raise ValidationError(f"target column '{target}' is missing")
     if row["bad_targets"]:
-        raise ValidationError(f"target column '{target}' must hold 0 and 1 only, found {target_values(df, target)}")
+        raise ValidationError(f"target column '{target}' must hold 0 and 1 only, found {_shown_targets(df, target)}")
     report = ValidationReport(
         is_valid=not absent,
         row_count=int(row["row_count"]),

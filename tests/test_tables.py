@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -126,6 +128,23 @@ def test_event_time_rule(spark):
         app.add_event_time(df.withColumn("month", F.lit(14))).collect()
 
 
+def test_calendar_of_far_positions(spark):
+    """The clock's calendar holds beyond any timestamp; near positions agree with their time."""
+    places = [0, 7, 288 * 59, 288 * 60, 28_700_000_000, 28_900_000_000, 10**12]
+    df = spark.createDataFrame([(i, 1, 3) for i in places], "event_id bigint, month int, days_since_request int")
+    rows = app.add_calendar(df, app.time_of_cycle()).collect()
+    for r in rows:
+        minutes = r["event_id"] * 5
+        years, day = divmod((datetime.date(2024, 1, 4) - datetime.date(1970, 1, 1)).days + minutes // 1440, 146_097)
+        date = datetime.date(1970, 1, 1) + datetime.timedelta(days=day)
+        assert (r["event_hour"], r["event_day"], r["event_day_of_week"]) == (minutes % 1440 // 60, date.day, date.weekday())
+        assert r["event_is_weekend"] == (date.weekday() >= 5) and r["event_hour_sin"] is not None
+    near = app.add_calendar(app.add_event_time(df.where("event_id < 100000"))).drop("event_time").collect()
+    assert near == rows[:4]
+    built = app.row_features(df.withColumns({"income": F.lit(1.0), "velocity_6h": F.lit(2.0)})).drop("event_time").collect()
+    assert [r["event_is_weekend"] for r in built] == [r["event_is_weekend"] for r in rows]
+
+
 def test_rules_treat_missing_as_stated(spark):
     df = spark.createDataFrame([(None, None, None, 1, None, None)], "phone_home_valid int, phone_mobile_valid int, name_email_similarity double, email_is_free int, bank_months_count int, current_address_months_count int")
     row = app.add_risk_rules(df).first()

@@ -107,6 +107,19 @@ def f03(spark, folder):
     return app.add_calendar(orders, "o_orderdate").select("app_id", *F03_COLUMNS)
 
 
+FAR = """SELECT o_orderkey AS app_id, 31 + 19723 + o_orderkey % 40 + (o_orderkey * 20000000 * 5) // 1440 AS days, (o_orderkey * 20000000 * 5) % 1440 AS minutes FROM orders"""
+FAR_PARTS = """SELECT app_id, minutes // 60 AS event_hour, day(DATE '1970-01-01' + CAST(days % 146097 AS INTEGER)) AS event_day,
+(days + 3) % 7 AS event_day_of_week, CASE WHEN (days + 3) % 7 >= 5 THEN 1 ELSE 0 END AS event_is_weekend FROM far"""
+
+
+@query("f03_calendar_of_far_positions", ctes({"far": FAR, "calendar": FAR_PARTS}, f"SELECT {whole('app_id')}, {derived(*F03_COLUMNS, 'event_is_weekend')} FROM calendar"))
+def f03_far(spark, folder):
+    """Positions up to 1.2e12 and more: the clock has run for millions of years, beyond any timestamp."""
+    key = F.col("o_orderkey")
+    far = table(spark, folder, "orders").select(key.alias("app_id"), F.lit(3).alias("month"), (key % 40).alias("days_since_request"), (key * 20_000_000).alias("event_id"))
+    return app.add_calendar(far, app.time_of_cycle()).select("app_id", *F03_COLUMNS, "event_is_weekend")
+
+
 @query("f04_weekend_flag", ctes({"calendar": ON_ORDERS}, f"SELECT {whole('app_id')}, {derived('event_is_weekend')} FROM calendar"))
 def f04(spark, folder):
     orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", "app_id")
