@@ -311,8 +311,8 @@ def score_batch(
     if log_to:
         out = stage_table(out, "scored-requests")
         latency = (time.perf_counter() - started) * 1000
-        payload = F.struct(F.col(row_id))
-        ledger.append_predictions(ledger.prediction_log(out, "batch", bundle.kind, latency, payload), log_to)
+        log = ledger.prediction_log(out, "batch", bundle.kind, latency, batch_size=out.count())
+        ledger.append_predictions(log, log_to)
     return out
 
 

@@ -8,8 +8,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def prediction_log(results: DataFrame, mode: str, model_type: str, latency_ms: float, payload: Column, request_id: str | None = None) -> DataFrame:
-    """Log rows: request id, UTC time, mode, model, latency, payload and result as JSON."""
+def prediction_log(
+    results: DataFrame,
+    mode: str,
+    model_type: str,
+    latency_ms: float,
+    payload: Column | None = None,
+    *,
+    request_id: str | None = None,
+    batch_size: int | None = None,
+) -> DataFrame:
+    """Log rows: request id, UTC time, mode, model, latency, payload and result as JSON.
+
+    A batch is one request: with `batch_size` all rows carry the same id, and the payload is the size. Otherwise
+    every row is a request of its own, unless an id is given, and `payload` says what it held.
+    """
+    if batch_size is not None:
+        request_id = request_id or str(uuid.uuid4())
+        payload = F.struct(F.lit(int(batch_size)).cast("bigint").alias("batch_size"))
+    elif payload is None:
+        raise ValueError("a log needs a payload or a batch size")
     identity = F.lit(request_id) if request_id else F.uuid()
     return results.select(
         identity.alias("request_id"),

@@ -1,4 +1,8 @@
+import collections
+import glob
+import json
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,7 +95,8 @@ def test_batch_scoring(spark, applications, linear, folder):
     assert len(rows) == 80 and len({r["row_id"] for r in rows}) == 80
     assert all(r["recommendation"] == ("red" if r[models.SCORE] >= 0.8 else "yellow" if r[models.SCORE] >= 0.5 else "green") for r in rows)
     assert all(len(r["human_readable_reasons"]) == len(r["top_positive_factors"]) for r in rows)
-    assert spark.read.parquet(f"{folder}/log").count() == 80
+    log = spark.read.parquet(f"{folder}/log").collect()
+    assert len(log) == 80 and len({r["request_id"] for r in log}) == 1 and {r["payload"] for r in log} == {'{"batch_size":80}'}
 
 
 def test_no_requests_no_results(spark, applications, linear):
@@ -110,6 +115,28 @@ def test_stream_scores_equal_batch_scores(spark, prepared, linear, folder):
     assert got == pytest.approx(want)
 
 
+def test_repeated_micro_batch_leaves_no_row_twice(spark, prepared, linear, folder):
+    """A stream that stops before a batch is committed writes it again, in place of the first attempt."""
+    prepared.frame.select("event_id", *REQUEST_SCHEMA.fieldNames()).repartition(3).write.json(f"{folder}/in")
+    means = linear.bundle.means(prepared.frame, ["event_id"])
+
+    def run():
+        stream = scorer.score_records(scorer.read_requests(spark, f"{folder}/in", files_per_batch=1), linear.bundle, means)
+        scorer.start_ledger(stream, f"{folder}/out", f"{folder}/log", f"{folder}/state", "linear", available_now=True).awaitTermination()
+        return sorted(r["event_id"] for r in spark.read.parquet(f"{folder}/out").collect()), spark.read.parquet(f"{folder}/log").collect()
+
+    ids, log = run()
+    assert ids == list(range(120)) and len(log) == 120
+    os.remove(f"{folder}/state/commits/2")
+    for crc in glob.glob(f"{folder}/state/commits/.2*"):
+        os.remove(crc)
+    again, log_again = run()
+    assert again == ids and len(log_again) == 120
+    sizes = collections.Counter(r["request_id"] for r in log_again)
+    assert len(sizes) == 3 and {r["request_id"] for r in log} == set(sizes)
+    assert all(json.loads(r["payload"]) == {"batch_size": sizes[r["request_id"]]} for r in log_again)
+
+
 def test_benchmark_suite(spark, applications, prepared, folder):
     variant = jobs.build_application_features(applications(90, shift=0.1))
     suite = {("base", "engineered"): prepared, ("variant_1", "engineered"): variant}

@@ -541,6 +541,33 @@ def m07(spark, folder):
     return spark.read.parquet(out)
 
 
+@query(
+    "j07_batch_and_stream",
+    f"""SELECT {whole('count(*)', 'rows')}, {whole('count(*)', 'streamed')}, {whole('count(*)', 'same')}, {whole('count(*)', 'logged')}, {whole('count(*)', 'in_requests')}, {whole('count(*)', 'with_reasons')} FROM orders""",
+)
+def j07_service(spark, folder):
+    """The same requests scored and explained as one batch and as a stream, which logs its micro-batches."""
+    prepared, result = fitted(spark, folder, models.LINEAR)
+    bundle = result.bundle
+    means = bundle.means(prepared.frame, ["event_id"])
+    landed, out, log = scratch(spark, "requests"), scratch(spark, "answers"), scratch(spark, "answers-log")
+    indexed(spark, folder).select("event_id", *REQUEST_SCHEMA.fieldNames()).repartition(4).write.json(landed)
+    stream = scorer.score_records(scorer.read_requests(spark, landed, files_per_batch=2), bundle, means)
+    scorer.start_ledger(stream, out, log, scratch(spark, "ledger-state"), bundle.kind, available_now=True).awaitTermination()
+    batch = bundle.explained(prepared.frame, means).select("event_id", F.col(models.SCORE).alias("batch_score"))
+    rows = batch.join(spark.read.parquet(out), "event_id", "full")
+    logged = spark.read.parquet(log).groupBy("request_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.get_json_object("payload", "$.batch_size").cast("bigint")).alias("size"))
+    logged = logged.agg(F.sum("n").alias("logged"), F.sum("size").alias("in_requests")).first()
+    return rows.agg(
+        F.count("batch_score").alias("rows"),
+        F.count(models.SCORE).alias("streamed"),
+        F.count_if(F.abs(F.col("batch_score") - F.col(models.SCORE)) < 1e-9).alias("same"),
+        F.count_if(F.size("human_readable_reasons") == F.size("top_positive_factors")).alias("with_reasons"),
+        F.lit(logged["logged"]).alias("logged"),
+        F.lit(logged["in_requests"]).alias("in_requests"),
+    )
+
+
 @query("m08_run_ledger")
 def m08(spark, folder):
     _, result = fitted(spark, folder, models.LINEAR)

@@ -125,15 +125,18 @@ def s18(spark, folder):
     return spark.read.json(path).select("target_column", *sizes, F.lit(build.rows).alias("rows"))
 
 
-@query("s19_prediction_log", f"SELECT 'batch' AS mode, 'linear' AS model_type, {whole('count(*)', 'rows')}, {whole('count(*)', 'requests')}, {number('sum(o_totalprice)', 'total', 2)} FROM orders", digits=2)
+@query("s19_prediction_log", f"SELECT 'batch' AS mode, 'linear' AS model_type, {whole('count(*)', 'rows')}, {whole('1', 'requests')}, {whole('count(*)', 'batch_size')}, {number('sum(o_totalprice)', 'total', 2)} FROM orders", digits=2)
 def s19(spark, folder):
     results = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     path = scratch(spark, "predictions")
-    ledger.append_predictions(ledger.prediction_log(results, "batch", "linear", 12.5, F.struct("o_orderkey")), path)
+    ledger.append_predictions(ledger.prediction_log(results, "batch", "linear", 12.5, batch_size=results.count()), path)
     logged = spark.read.parquet(path)
     total = F.get_json_object("result", "$.o_totalprice").cast("double")
     return logged.groupBy("mode", "model_type").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("request_id").alias("requests"), F.sum(total).alias("total")
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("request_id").alias("requests"),
+        F.max(F.get_json_object("payload", "$.batch_size").cast("bigint")).alias("batch_size"),
+        F.sum(total).alias("total"),
     )
 
 
