@@ -617,7 +617,7 @@ def j02(spark, folder):
 @query("j03_training_transfers")
 def j03(spark, folder):
     return jobs.run_training(
-        prepared_transfers(spark, folder), (models.TREES_POSITIVE,), settings=SMALL_MODEL, runs_out=scratch(spark, "runs")
+        prepared_transfers(spark, folder), models.CANDIDATES, settings=SMALL_MODEL, runs_out=scratch(spark, "runs")
     )
 
 

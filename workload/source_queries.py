@@ -11,7 +11,7 @@ from riskloom.operators import clean, ordered
 from riskloom.session import shared_folder
 from riskloom.sources import files, ledger, records
 from riskloom.sources.catalog import Catalog, preview
-from workload.registry import ctes, number, query, whole
+from workload.registry import ctes, moment, number, query, whole
 from workload.tables import APPS
 from workload.views import applications, table
 
@@ -31,9 +31,9 @@ def s01(spark, folder):
     return files.read_table(spark, path, schema=orders.schema)
 
 
-@query("s02_s04_parquet_round_trip", f"SELECT {whole('event_id')}, {whole('user_id')}, event_type, {number('value')}, props FROM events")
+@query("s02_s04_parquet_round_trip", f"SELECT {whole('event_id')}, {moment('ts')}, {whole('user_id')}, event_type, {number('value')}, props FROM events")
 def s02(spark, folder):
-    path = files.write_table(table(spark, folder, "events").drop("ts"), scratch(spark, "events") + ".parquet")
+    path = files.write_table(table(spark, folder, "events"), scratch(spark, "events") + ".parquet")
     return files.read_table(spark, path)
 
 
@@ -92,14 +92,14 @@ def s14(spark, folder):
     return names.load(spark, "orders", schema=orders.schema)
 
 
-@query("s16_copy_between_sources", f"SELECT {whole('o_orderkey')}, {number('o_totalprice')}, {whole('count(*) OVER ()', 'copied')} FROM orders")
+@query("s16_copy_between_sources", f"SELECT {ORDER_COLUMNS}, {whole('count(*) OVER ()', 'copied')} FROM orders")
 def s16(spark, folder):
-    orders, names = table(spark, folder, "orders").drop("o_orderdate"), catalog(spark, "copy")
+    orders, names = table(spark, folder, "orders"), catalog(spark, "copy")
     names.save(orders, "orders", "csv")
     names.schemas["orders"] = orders.schema
     copied = names.copy(spark, "orders", "csv", "api")
     back = records.read_records(spark, names._path("landed"), schema=orders.schema, one_per_file=False)
-    return back.select("o_orderkey", "o_totalprice", F.lit(copied).alias("copied"))
+    return back.withColumn("copied", F.lit(copied))
 
 
 @query("s15_first_rows", f"SELECT {whole('o_orderkey')}, {number('o_totalprice')} FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 500")

@@ -353,11 +353,10 @@ KEPT_TRANSFER = ["Amount", "Payment_type", "Sender_bank_location", "Receiver_ban
 
 @query(
     "c16_drop_technical",
-    ctes({"transfers": duck(TRANSFERS)}, f"SELECT tx_order, tx_line, tx_part, tx_supplier, {number('Amount')}, Payment_type, Sender_bank_location, Receiver_bank_location FROM transfers"),
+    ctes({"transfers": duck(TRANSFERS)}, f"SELECT tx_order, tx_line, tx_part, tx_supplier, {number('Amount')}, Payment_type, Payment_currency, Received_currency, Sender_bank_location, Receiver_bank_location FROM transfers"),
 )
 def c16(spark, folder):
-    kept = transfers(spark, folder).drop(*TRANSFER_TECHNICAL, *TRANSFER_LEAKAGE, "Time", "Date", "Is_laundering")
-    return kept.drop("Payment_currency", "Received_currency")
+    return transfers(spark, folder).drop(*TRANSFER_TECHNICAL, *TRANSFER_LEAKAGE, "Time", "Date", "Is_laundering")
 
 
 @query(
