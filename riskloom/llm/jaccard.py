@@ -1,7 +1,7 @@
 """Similarity join of word-shingle sets: a grouped prefix join, and the components of its links.
 
 Two documents link when their sets' Jaccard similarity reaches a percentage. In one order of all shingles
-(rarest first, by counts over the whole corpus in a fixed number of hash buckets) linked sets share a shingle
+(rarest first, by counts over the whole corpus in hash buckets, more for more text) linked sets share a shingle
 in their prefixes. Documents with equal sets are one class; classes with the same prefix and size are one
 group, and only groups enter the index of prefix shingles. Lists that name one group alone are dropped;
 the others are expanded to the member classes, and so is each group of several classes.
@@ -10,8 +10,8 @@ A list is then settled without forming all its pairs: its members are compared w
 then with the next leader, and members already in one component need no comparison. After a few rounds lists
 that are still open give all their remaining pairs between components, so no link between components is
 missed. Sizes, positions in the prefix and
-small bitmaps of the sets rule pairs out, within the join where pairs are formed, before the texts of the
-rest are compared.
+small bitmaps of the sets rule pairs out, within the join where pairs are formed, before the full sets of
+the rest, worked out once for the members of lists, are compared.
 
 Defined results: a null text, or one without words, has an empty set, links with nothing and is its own
 component; a null id has no say in a component's smallest id; repeated rows have equal sets; an empty table
@@ -32,42 +32,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import WordTable, byte_slices, mixed, raw, signed, staged, text_of
+from riskloom.llm.common import MASK64, byte_slices, signed, staged, text_of
 from riskloom.llm.components import components
-
-BUCKETS = 1 << 18
+from riskloom.llm.registers import shingle_sets
+
+#: Text bytes for each bucket of shingle counts, and the least and most buckets; only the order hangs on them.
+BYTES_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 1536, 1 << 14, 1 << 20
+#: Buckets of one row of counts.
+PIECE = 1 << 12
+#: Text bytes that are shingled at once.
+SLICE = 1 << 20
 #: Longs of a set's bitmap, in which every shingle flips one bit.
 BITMAP = 16
 #: Rounds of one leader for each open list, before the pairs that remain are formed.
 ROUNDS = 2
 
-_words = WordTable(1, lambda w: (xxhash.xxh3_64_intdigest(w),))
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 
+def _counter(width: int, buckets: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(buckets, np.uint32)
+        for batch in byte_slices(batches, "text", SLICE):
+            np.add.at(counts, shingle_sets(batch.column("text"), width)[1] % np.uint64(buckets), np.uint32(1))
+        pieces = counts.reshape(-1, PIECE)
+        met = np.flatnonzero(pieces.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array([pieces[i].tobytes() for i in met], pa.binary())], ["piece", "counts"])
 
-def shingles(text: bytes, width: int) -> np.ndarray:
-    """The distinct shingles of a text as 64-bit hashes, in order; A-Z count as a-z."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    numbers = _words.of(words)[:, 0]
-    width = min(width, len(words))
-    h = numbers[: len(numbers) - width + 1]
-    for i in range(1, width):
-        h = h * _STEP + numbers[i : len(numbers) - width + 1 + i]
-    return np.unique(mixed(h + np.uint64(width)))
+    return count
 
 
-def _sketcher(width: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        for batch in byte_slices(batches, "text"):
-            met = np.concatenate([shingles(text, width) for text in raw(batch.column("text"))])
-            counts += np.bincount((met % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-        met = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], ["bucket", "n"])
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, counts in zip(batch.column("piece").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            sums[piece] = sums.get(piece, 0) + np.frombuffer(counts, np.uint32).astype(np.uint64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["piece", "counts"])
 
-    return count
+
+def _shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
+    """In how many rows the shingles of each bucket are met; more buckets for more text, 8 MB at most."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = min(max(1 << (size // BYTES_PER_BUCKET).bit_length(), LEAST_BUCKETS), MOST_BUCKETS)
+    schema = "piece int, counts binary"
+    rows = texts.select("text").mapInArrow(_counter(width, buckets), schema).repartition("piece").mapInArrow(_summed, schema)
+    counts = np.zeros((buckets // PIECE, PIECE), np.uint64)
+    for r in rows.collect():  # at most MOST_BUCKETS / PIECE rows
+        counts[r.piece] = np.frombuffer(r.counts, np.uint64)
+    return counts.ravel()
 
 
 SETS = "id long, text_hash long, n long, h1 long, h2 long, prefix_hash long, prefix array<long>, bits array<long>"
@@ -79,25 +89,47 @@ def _bitmap(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat.view(np.int64)))
+
+
 def _describer(width: int, percent: int, counts: np.ndarray):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
-            rows: list[list] = [[], [], [], [], [], []]
-            for text in raw(batch.column("text")):
-                own = shingles(text, width)
-                n = len(own)
-                ordered = own[np.lexsort((own, counts[(own % np.uint64(BUCKETS)).astype(np.int64)]))]
-                prefix = ordered[: n - -(-n * percent // 100) + 1] if n else ordered
-                whole = xxhash.xxh3_128_intdigest(own.tobytes())
-                values = (n, signed(whole >> 64), signed(whole & (1 << 64) - 1), signed(xxhash.xxh3_64_intdigest(prefix.tobytes())), prefix.view(np.int64), _bitmap(own))
-                for column, value in zip(rows, values, strict=True):
-                    column.append(value)
-            columns = [pa.array(c, pa.int64()) for c in rows[:4]] + [pa.array(c, pa.list_(pa.int64())) for c in rows[4:]]
+        # rarest first; of equal counts, the smaller hash
+        order = np.minimum(counts, (1 << 32) - 1).astype(np.uint32)
+        for batch in byte_slices(batches, "text", SLICE):
+            bounds, hashes = shingle_sets(batch.column("text"), width)
+            ranks = order[hashes % np.uint64(len(order))]
+            sizes, prefixes, maps = np.diff(bounds), [], []
+            for a, b, n in zip(bounds, bounds[1:], sizes, strict=False):
+                own = hashes[a:b]
+                prefixes.append(own[np.argsort(ranks[a:b], kind="stable")[: n - -(-n * percent // 100) + 1]])
+                maps.append(_bitmap(own))
+            whole = [xxhash.xxh3_128_intdigest(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+            numbers = [[signed(w >> 64) for w in whole], [signed(w & MASK64) for w in whole], [signed(xxhash.xxh3_64_intdigest(p)) for p in prefixes]]
+            columns = [pa.array(sizes), *[pa.array(v, pa.int64()) for v in numbers], _lists(prefixes), _lists(maps)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_hash"), *columns], ["id", "text_hash", "n", "h1", "h2", "prefix_hash", "prefix", "bits"])
 
     return describe
 
 
+def _reader(width: int):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text", SLICE):
+            bounds, hashes = shingle_sets(batch.column("text"), width)
+            own = pa.array([hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("class"), own], ["class", "own"])
+
+    return read
+
+
+@F.pandas_udf(T.LongType())
+def _common(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in zip(a, b, strict=True)], dtype="int64")
+
+
 def _open_lists(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """(list, class, n, place) of the lists with several classes: prefix shingles, and groups as lists of their own."""
     groups = classes.groupBy("n", "prefix_hash").agg(F.min("class").alias("gid"), F.count("*").alias("classes"))
@@ -113,14 +145,6 @@ def _open_lists(sets: DataFrame, classes: DataFrame) -> DataFrame:
     return staged(across.unionAll(within), "lists")
 
 
-def _verifier(width: int):
-    @F.pandas_udf(T.LongType())
-    def common(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(shingles(x.encode(), width), shingles(y.encode(), width), True)) for x, y in zip(a, b, strict=True)], dtype="int64")
-
-    return common
-
-
 def _may_link(percent: int) -> str:
     """Whether sizes and places in the prefixes leave room for a link."""
     overlap = "least(place, lead_place) + 1 + least(n - place, lead_n - lead_place) - 1"
@@ -145,19 +169,19 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     """For every row its set's size and `component_id`, the smallest id reachable by links."""
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("text_hash"))
-    counts = np.zeros(BUCKETS, np.int64)
-    for r in texts.select("text").mapInArrow(_sketcher(width), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS rows
-        counts[r.bucket] = r.n
+    counts = _shingle_counts(texts, width)
     sets = staged(texts.mapInArrow(_describer(width, percent, counts), SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
     classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("class"), F.min("id").alias("least_id"), F.min("prefix_hash").alias("prefix_hash"))
     classes = staged(classes, "classes")
     lists = _open_lists(sets, classes)
 
     wanted = sets.join(lists.select(F.col("class").alias("row")).distinct(), "row", "left_semi")
-    bitmaps = staged(wanted.select(F.col("row").alias("class"), "id", "text_hash", "bits"), "bitmaps")
-    first = bitmaps.select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
+    wanted = staged(wanted.select(F.col("row").alias("class"), "id", "text_hash", "bits"), "wanted")
+    bitmaps = wanted.select("class", "bits")
+    first = wanted.select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
     bodies = texts.join(first, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("class", "text")
-    bodies = staged(bodies.dropDuplicates(["class"]), "bodies")
+    # rows that are the same in id and text give a class the same set more than once
+    bodies = staged(bodies.mapInArrow(_reader(width), "class long, own binary").groupBy("class").agg(F.first("own").alias("own")), "bodies")
 
     links = tested = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
@@ -177,9 +201,9 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pairs.join(bitmaps.select(F.col("class").alias("a"), F.col("bits").alias("bits_a")), "a").join(bitmaps.select(F.col("class").alias("b"), F.col("bits").alias("bits_b")), "b")
         pairs = staged(pairs.where(_bits_allow(percent, "bits_a", "bits_b")).select("a", "b", "n", "lead_n"), "pairs")
-        left = bodies.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-        right = bodies.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-        compared = pairs.join(left, "a").join(right, "b").withColumn("common", _verifier(width)("text_a", "text_b"))
+        left = bodies.select(F.col("class").alias("a"), F.col("own").alias("own_a"))
+        right = bodies.select(F.col("class").alias("b"), F.col("own").alias("own_b"))
+        compared = pairs.join(left, "a").join(right, "b").withColumn("common", _common("own_a", "own_b"))
         found = compared.where(f"{100 + percent} * common >= {percent} * (n + lead_n)").select("a", "b")
         links = staged(links.unionAll(found), "linked")
         if turn == ROUNDS:
