@@ -37,6 +37,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return stage_table(df, f"llm-{label}")
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Batches of long texts to Python hold so many bytes at most, unless the session sets a size itself."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "1b") == "1b":  # the stand-in comes back where nothing is set
+        spark.conf.set(key, size)
+
+
 def signed(value: int) -> int:
     """An unsigned 64-bit number as the bigint with the same bits."""
     return value - (1 << 64) if value >> 63 else value

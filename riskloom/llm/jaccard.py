@@ -165,8 +165,8 @@ def _near_roots(links: DataFrame) -> DataFrame:
     return up.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
-def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For every row its set's size and `component_id`, the smallest id reachable by links."""
+def _similar(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_hash, n, label, least_id) of every row: one label for each component, null for empty sets."""
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("text_hash"))
     counts = _shingle_counts(texts, width)
@@ -218,6 +218,34 @@ def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
 
     named = classes.join(roots, classes["class"] == roots["node"], "left").select("h1", "h2", "n", "least_id", F.coalesce("root", "class").alias("label"))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    by_set = named.join(least, "label").select("h1", "h2", "n", "component_id")
-    whole = sets.select("id", "n", "h1", "h2").join(by_set, ["h1", "h2", "n"], "left")
-    return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    by_set = named.join(least, "label").select("h1", "h2", "n", "label", F.col("component_id").alias("least_id"))
+    return sets.select("id", "text_hash", "n", "h1", "h2").join(by_set, ["h1", "h2", "n"], "left").drop("h1", "h2")
+
+
+def join_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For every row its set's size and `component_id`, the smallest id reachable by links."""
+    found = _similar(docs, width, percent, id_col, text_col)
+    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least_id"))
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns: one of each component, and all rows with an empty set.
+
+    The row with the smallest id stays, a null id only where there is no other; of several texts under that id,
+    the one with the smallest hash; of rows that are the same in id and text, any one.
+    """
+    found = staged(_similar(docs, width, percent, id_col, text_col).where("n > 0"), "similar")
+    best = found.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("best"))
+    rows = found.groupBy("label", "id", "text_hash").agg(F.count("*").alias("rows")).join(best, "label")
+    stays = F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.text_hash") == F.col("text_hash"))
+    marks = rows.select(F.col("id").alias("mark_id"), F.col("text_hash").alias("mark_hash"), stays.alias("stays"), "rows")
+    marks = staged(marks.where("NOT stays OR rows > 1"), "marks")
+    carried = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried")
+    inner = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"), carried)
+    match = F.col("id").eqNullSafe(F.col("mark_id")) & (F.col("text_hash") == F.col("mark_hash"))
+    kept = inner.join(marks, match, "left_anti").select("carried")
+    repeated = marks.where("stays")
+    if not repeated.isEmpty():
+        kept = kept.unionAll(inner.join(repeated, match, "left_semi").groupBy("id", "text_hash").agg(F.first("carried").alias("carried")).select("carried"))
+    return kept.select(*[F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
