@@ -3,6 +3,11 @@
 Rows the quality classifier rejects go; of equal texts one stays; of texts that are near copies one stays;
 the domains are brought to their target shares by keeping or leaving out documents of those that have too
 much, while plain documents stay; and what is left is packed into sequences.
+
+Defined results: a null text counts as empty; empty texts are scored by the classifier like others, are one text
+to the exact copies and have no near copies. A null doc_id is a row like others: it is kept only where no copy has
+an id, is never labelled, and is packed. Of ties the smallest doc_id stays, of rows that are the same in id and text
+one. Extra columns are carried along to the last stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import exact, jaccard, mixing, packing, quality
-from riskloom.llm.common import documents, labels, staged
+from riskloom.llm.common import documents, labels, small_batches, staged
 from riskloom.llm.queries import domains, vocabulary_files
 
 #: Wanted shares of the tokens; plain documents keep theirs.
@@ -20,20 +25,21 @@ MIX = {"plain": 0.96, "junk": 0.01, "toxic": 0.03}
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
+    small_batches(spark)
     model = quality.train(docs, labels(spark, sf_dir))
     return quality.with_scores(docs, model, score="__score").where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text."""
+    small_batches(spark)
     return exact.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of similar texts (five words, 0.8)."""
-    found = jaccard.join_similar(docs, width=5, percent=80)
-    gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    small_batches(spark)
+    return jaccard.drop_similar(docs, width=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +52,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
+    small_batches(spark)
     return packing.pack(docs, *vocabulary_files())
 
 
