@@ -4,7 +4,8 @@ A classifier fitted on a table of labelled documents gives every document a prob
 features are its distinct words, and the signs between them. All whose presence tells a domain from the rest beyond chance
 enter a naive Bayes model of what is present; its base scores are set so that the labelled documents' expected numbers by
 domain are the real ones. Absence is not counted: a text without most of many rare words tells nothing. The features form a table, which the
-features of every document are joined to; what they add is summed within the document's task. With n tokens and posteriors p, a
+features of every document are joined to; what they add is summed within the document's task. Texts are split once to fit
+and once to score, where the same pass counts their tokens; rates come back to the rows by a join that Spark plans by size. With n tokens and posteriors p, a
 document taken at rate r adds r n p[k] expected tokens to domain k. Rates within bounds are found by
 projected gradient steps on the squared gaps between expected and wanted tokens of the domains, each gap
 measured against the domain's present tokens; with that measure a step of one never overshoots. Each step
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import UPPER, staged, text_of
+from riskloom.llm.common import staged, text_of
 from riskloom.llm.quality import BROADCAST_ROWS
 
 #: Standard errors, at least, by which a feature must tell a domain from the rest.
@@ -42,13 +43,14 @@ GAP = "[\\x20\\x09-\\x0D]+"
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text, A-Z in lower case; an empty one may stand at either end."""
-    return F.split(F.translate(text, UPPER, UPPER.lower()), GAP)
+    """The words of a text in lower case; an empty one may stand at either end."""
+    return F.split(F.lower(text), GAP)
 
 
 def signs_of(text: Column) -> Column:
     """What stands between small letters, digits and white space; a run of capitals is one sign."""
-    return F.split(F.regexp_replace(text, "\\p{Lu}+", "A"), "[\\p{Ll}\\p{N}\\s]+")
+    signs = F.array_distinct(F.regexp_extract_all(text, F.lit("[^\\p{Ll}\\p{N}\\s]+"), F.lit(0)))
+    return F.transform(signs, lambda s: F.regexp_replace(s, "\\p{Lu}+", "A"))
 
 
 def _bound(value: Column, use) -> Column:
@@ -56,10 +58,16 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _features(rows: DataFrame, *keys: str) -> DataFrame:
-    """A row for each distinct word and sign of each text, beside the keys."""
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.array_distinct(a).alias("met")) for k, a in (("word", words_of(F.col("text"))), ("sign", signs_of(F.col("text"))))])
-    return rows.select(*keys, F.explode(kinds).alias("k")).select(*keys, "k.kind", F.explode("k.met").alias("feature")).where("feature <> ''")
+def _read(rows: DataFrame, *keys: str) -> DataFrame:
+    """Each text split once: beside the keys its number of words, and its distinct words and signs (met)."""
+    words = rows.select(*keys, words_of(F.col("text")).alias("words"), signs_of(F.col("text")).alias("signs"))
+    met = [F.struct(F.lit(k).alias("kind"), F.array_remove(F.array_distinct(f"{k}s"), "").alias("features")) for k in ("word", "sign")]
+    return words.select(*keys, F.size(F.array_remove("words", "")).cast("long").alias("n"), F.array(*met).alias("met"))
+
+
+def _features(read: DataFrame, *keys: str) -> DataFrame:
+    """A row for each feature that was met, beside the keys."""
+    return read.select(*keys, F.explode("met").alias("m")).select(*keys, "m.kind", F.explode("m.features").alias("feature"))
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -75,14 +83,16 @@ class DomainClassifier:
     base: list[float]
     weights: DataFrame | None
 
-    def sums(self, rows: DataFrame) -> DataFrame:
-        """From columns row and text, for rows with any feature: row and what its features add by domain."""
+    def sums(self, read: DataFrame) -> DataFrame:
+        """For every row of what was read: row, n, and what its features add by domain."""
+        own = read.withColumn("met", F.array_append("met", F.struct(F.lit("none").alias("kind"), F.array(F.lit("")).alias("features"))))
+        nothing = self.weights.sparkSession.createDataFrame([("none", "", *[0.0] * len(self.domains))], self.weights.schema)
         sums = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(self.domains))]
-        return _features(rows, "row").join(_small(self.weights), ["kind", "feature"]).groupBy("row").agg(*sums)
+        return _features(own, "row", "n").join(_small(self.weights.unionByName(nothing)), ["kind", "feature"]).groupBy("row", "n").agg(*sums)
 
     def posteriors(self) -> Column:
-        """An array of probabilities by domain, from sums; without sums that of a text without features."""
-        return self.odds([F.lit(float(b)) + F.coalesce(F.col(f"w{i}"), F.lit(0.0)) for i, b in enumerate(self.base)])
+        """An array of probabilities by domain, from sums."""
+        return self.odds([F.lit(float(b)) + F.col(f"w{i}") for i, b in enumerate(self.base)])
 
     @staticmethod
     def odds(scores: list[Column]) -> Column:
@@ -100,7 +110,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", te
     if not domains:
         return DomainClassifier([], [], None)
     total = sum(sizes.values())
-    counts = _features(rows, "domain").groupBy("kind", "feature").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(domains)])
+    read = staged(_read(rows, "domain").withColumn("row", F.monotonically_increasing_id()), "read")
+    counts = _features(read, "domain").groupBy("kind", "feature").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(domains)])
     tells = []
     for i, d in enumerate(domains):
         here, rest = F.col(f"n{i}") / F.lit(float(sizes[d])), sum((F.col(f"n{j}") for j in range(len(domains)) if j != i), F.lit(0)) / F.lit(max(1.0, float(total - sizes[d])))
@@ -110,15 +121,11 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", te
     adds = [F.log((F.col(f"n{i}") + F.lit(SMOOTH * sizes[d] / total)) / F.lit(sizes[d] + SMOOTH)).alias(f"w{i}") for i, d in enumerate(domains)]
     weights = staged(counts.where(F.array_max(F.array(*tells)) >= CHANCE).select("kind", "feature", *adds), "features")
     classifier = DomainClassifier(domains, [math.log(sizes[d] / total) for d in domains], weights)
-    sums = classifier.sums(rows.select(F.monotonically_increasing_id().alias("row"), "text"))
-    sums = staged(sums.drop("row"), "sums")
-    bare = total - sums.count()
+    sums = staged(classifier.sums(read).drop("row", "n"), "sums")
     for _ in range(ROUNDS):
         p = classifier.posteriors()
         met = sums.agg(*[F.coalesce(F.sum(F.element_at(p, i + 1)), F.lit(0.0)) for i in range(len(domains))]).first()
-        top = max(classifier.base)
-        alone = [math.exp(b - top) for b in classifier.base]
-        shift = [math.log(sizes[d] / (m + bare * a / sum(alone))) for d, m, a in zip(domains, met, alone, strict=True)]
+        shift = [math.log(sizes[d] / m) for d, m in zip(domains, met, strict=True)]
         classifier.base = [b + x for b, x in zip(classifier.base, shift, strict=True)]
         if max(map(abs, shift)) < CLOSE:
             break
@@ -144,13 +151,12 @@ def fit_rates(
     outer = [c for c in docs.columns if c not in names]
     inner = [f"c{i}" for i in range(len(outer))]  # names that cannot clash with ours
     text = text_of(inner[outer.index(text_col)])
-    texts = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(outer, inner, strict=True)]).withColumn("n", F.size(F.array_remove(words_of(text), "")).cast("long"))
+    texts = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(outer, inner, strict=True)])
     texts = staged(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
     if k:
-        sums = staged(classifier.sums(texts.select("row", text.alias("text"))), "sums")
-        scored = texts.select("row", "n").join(_small(sums), "row", "left").select("row", "n", classifier.posteriors().alias("p"))
+        scored = classifier.sums(_read(texts.select("row", text.alias("text")), "row")).select("row", "n", classifier.posteriors().alias("p"))
     else:
-        scored = texts.select("row", "n", F.array().cast("array<double>").alias("p"))
+        scored = _read(texts.select("row", text.alias("text")), "row").select("row", "n", F.array().cast("array<double>").alias("p"))
     scored = staged(scored, "mixing")
     rows = scored.select(F.col("n").alias(names[0]), F.col("p").alias(names[1]))
     p = [F.element_at(F.col(names[1]), i + 1) for i in range(k)]
@@ -177,7 +183,7 @@ def fit_rates(
             last = size
             have = totals(_moved(F.lit(start), p, moves, least, most))
     rated = scored.select("row", F.col("n").alias(names[0]), F.col("p").alias(names[1])).withColumn(names[2], _moved(F.lit(start), p, moves, least, most))
-    return texts.join(_small(rated), "row").select(*[F.col(i).alias(c) for i, c in zip(inner, outer, strict=True)], *names)
+    return texts.join(rated, "row").select(*[F.col(i).alias(c) for i, c in zip(inner, outer, strict=True)], *names)
 
 
 def drawn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str, str] = NAMES) -> DataFrame:
