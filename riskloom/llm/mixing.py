@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import staged, text_of
+from riskloom.llm.common import SPACES, staged, text_of
 from riskloom.llm.quality import BROADCAST_ROWS
 
 #: Standard errors, at least, by which a feature must tell a domain from the rest.
@@ -43,8 +43,8 @@ GAP = "[\\x20\\x09-\\x0D]+"
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text in lower case; an empty one may stand at either end."""
-    return F.split(F.lower(text), GAP)
+    """The words of a text in lower case; an empty one alone where there are none."""
+    return F.split(F.lower(F.btrim(text, F.lit(SPACES.decode()))), GAP)
 
 
 def signs_of(text: Column) -> Column:
@@ -61,13 +61,16 @@ def _bound(value: Column, use) -> Column:
 def _read(rows: DataFrame, *keys: str) -> DataFrame:
     """Each text split once: beside the keys its number of words, and its distinct words and signs (met)."""
     words = rows.select(*keys, words_of(F.col("text")).alias("words"), signs_of(F.col("text")).alias("signs"))
-    met = [F.struct(F.lit(k).alias("kind"), F.array_remove(F.array_distinct(f"{k}s"), "").alias("features")) for k in ("word", "sign")]
-    return words.select(*keys, F.size(F.array_remove("words", "")).cast("long").alias("n"), F.array(*met).alias("met"))
+    met = [F.struct(F.lit(k).alias("kind"), F.array_distinct(f"{k}s").alias("features")) for k in ("word", "sign")]
+    return words.select(*keys, (F.size("words") - (F.element_at("words", 1) == "").cast("int")).cast("long").alias("n"), F.array(*met).alias("met"))
 
 
 def _features(read: DataFrame, *keys: str) -> DataFrame:
-    """A row for each feature that was met, beside the keys."""
-    return read.select(*keys, F.explode("met").alias("m")).select(*keys, "m.kind", F.explode("m.features").alias("feature"))
+    """A row for each feature that was met, beside the keys.
+
+    Only an outer explode is planned without a test of its array's size, which would split every text again.
+    """
+    return read.select(*keys, F.explode_outer("met").alias("m")).select(*keys, "m.kind", F.explode_outer("m.features").alias("feature")).where("feature <> ''")
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -85,8 +88,8 @@ class DomainClassifier:
 
     def sums(self, read: DataFrame) -> DataFrame:
         """For every row of what was read: row, n, and what its features add by domain."""
-        own = read.withColumn("met", F.array_append("met", F.struct(F.lit("none").alias("kind"), F.array(F.lit("")).alias("features"))))
-        nothing = self.weights.sparkSession.createDataFrame([("none", "", *[0.0] * len(self.domains))], self.weights.schema)
+        own = read.withColumn("met", F.array_append("met", F.struct(F.lit("none").alias("kind"), F.array(F.lit("none")).alias("features"))))
+        nothing = self.weights.sparkSession.createDataFrame([("none", "none", *[0.0] * len(self.domains))], self.weights.schema)
         sums = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(self.domains))]
         return _features(own, "row", "n").join(_small(self.weights.unionByName(nothing)), ["kind", "feature"]).groupBy("row", "n").agg(*sums)
 
