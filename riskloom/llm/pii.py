@@ -10,7 +10,8 @@ an area code of any three digits (in brackets, after a country code, or set off
 the letters and digits before the @ of mail addresses.
 
 Defined results: a null text stays null, texts without findings stay as they are, values that fail their test
-are no findings. The text column is replaced in place; all other columns, whatever their names, are kept.
+are no findings. A card number with other groups of digits beside it, 19 digits in all at most, is found in its printed forms;
+where its pseudonym and those groups make up a further valid number, restoring may stop at that one. The text column is replaced in place; all other columns, whatever their names, are kept.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ PATTERNS = {
     "phone": "(?:\\+[0-9]{1,3}[ .-]?)?\\([0-9]{3}\\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\\+[0-9]{1,3}[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "card": "(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
+#: How cards are printed; looked for where other groups of digits stand beside them.
+PRINTED = ("[0-9]{13,19}", "[0-9]{4}([ -])[0-9]{4}\\2[0-9]{4}\\2[0-9]{4}", "[0-9]{4}([ -])[0-9]{4}\\2[0-9]{4}\\2[0-9]{4}\\2[0-9]{3}", "[0-9]{4}([ -])[0-9]{6}\\2[0-9]{4,5}")
 ANY = "|".join(PATTERNS.values())
 
 
@@ -108,11 +111,19 @@ class Pseudonyms:
         one = f"CAST(substring({digits}, length({digits}) - q, 1) AS INT)"
         return f"aggregate(sequence(0, length({digits}) - 1), 0, (t, q) -> t + IF(q % 2 = 1, {one} * 2 - IF({one} > 4, 9, 0), {one}))"
 
-    def card(self, m: str) -> str:
+    def valid_card(self, m: str) -> str:
+        """The pseudonym of a card number, or what is no card number as it is."""
         fresh = self.let(self.digits("'card'", "substring(d, 1, length(d) - 1)"), "y", f"concat(y, CAST(pmod(10 - {self.luhn("concat(y, '0')")} % 10, 10) AS STRING))")
         changed = self.let(fresh, "fresh", self.refill(m, "fresh", "0-9"))
         return self.let(f"regexp_replace({m}, '[^0-9]', '')", "d", f"IF({self.luhn('d')} % 10 = 0, {changed}, {m})")
 
+    def card(self, m: str) -> str:
+        """The digits as one number; if that is none, the printed forms among their groups, also those that overlap."""
+        found = [f"regexp_extract_all({m}, '(?<![0-9])(?=({p.replace(chr(92), chr(92) * 2)})(?![0-9]))', 1)" for p in PRINTED]
+        printed = f"concat({', '.join(found)})"
+        inside = f"aggregate({printed}, {m}, (t, c) -> replace(t, c, {self.valid_card('c')}))"
+        return self.let(self.valid_card(m), "w", f"IF(w = {m}, {inside}, w)")
+
     def replaced(self, m: str) -> str:
         """The pseudonym of one finding."""
         tests = " ".join(f"WHEN {m} RLIKE '^(?:{PATTERNS[k].replace(chr(92), chr(92) * 2)})$' THEN {getattr(self, k)(m)}" for k in PATTERNS)

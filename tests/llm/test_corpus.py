@@ -294,6 +294,21 @@ def test_pseudonyms_of_all_telephone_forms(spark):
     assert [back[i] for i in range(len(values))] == [f"at {v} now" for v in values]
 
 
+def test_cards_beside_other_digits(spark):
+    """Groups before, after or on both sides; forms with and without gaps; numbers that are no cards stay."""
+    around = [("12 ", ""), ("", " 12"), ("7-", ""), ("1 ", " 2"), ("", "-123")]
+    cards = ["4111 1111 1111 1111", "4111-1111-1111-1111", "5500005555555559", "3782 822463 10005"]
+    texts = [f"{a}{c}{b}" for c in cards for a, b in around]
+    table = spark.createDataFrame([(i, f"no. {t}, paid") for i, t in enumerate([*texts, "12 4111 1111 1111 1112"])], "doc_id long, text string")
+    hidden = pii.pseudonymise(table, "key", count="n")
+    got = {r.doc_id: r for r in hidden.collect()}
+    for i, t in enumerate(texts):
+        assert cards[i // len(around)] not in got[i].text and got[i].n == 1 and len(got[i].text) == len(t) + 10
+    assert (got[len(texts)].text, got[len(texts)].n) == ("no. 12 4111 1111 1111 1112, paid", 0)
+    fresh = {cards[k]: [got[k * len(around) + j].text[4 + len(a) :][: len(cards[k])] for j, (a, _) in enumerate(around)] for k in range(len(cards))}
+    assert all(collections.Counter(v).most_common(1)[0][1] >= 3 for v in fresh.values())
+
+
 def test_language_model(docs, rows):
     language, counts = lm.fit(docs, head=20, known=50)
     got = lm.score_texts(docs, language, counts).collect()
