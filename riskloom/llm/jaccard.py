@@ -11,7 +11,7 @@ then with the next leader, and members already in one component need no comparis
 that are still open give all their remaining pairs between components, so no link between components is
 missed. Sizes, positions in the prefix and
 small bitmaps of the sets rule pairs out, within the join where pairs are formed, before the full sets of
-the rest, worked out once for the members of lists, are compared.
+the rest are compared. A class's full set is read from its text when a pair first asks for it.
 
 Defined results: a null text, or one without words, has an empty set, links with nothing and is its own
 component; a null id has no say in a component's smallest id; repeated rows have equal sets; an empty table
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from riskloom.llm.common import MASK64, byte_slices, signed, staged, text_of
 from riskloom.llm.components import components
-from riskloom.llm.registers import shingle_sets
+from riskloom.llm.registers import BROADCAST_ROWS, shingle_sets
 
 #: Text bytes for each bucket of shingle counts, and the least and most buckets; only the order hangs on them.
 BYTES_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 1536, 1 << 14, 1 << 20
@@ -158,6 +158,21 @@ def _bits_allow(percent: int, a: str, b: str) -> Column:
     return (100 + percent) * (sizes - apart) >= 2 * percent * sizes
 
 
+def _sets_of(pairs: DataFrame, bodies: DataFrame, wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """The full sets of the classes in `pairs`, and of those asked for before."""
+    new = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(bodies, "class", "left_anti")
+    first = staged(new.join(wanted, "class").select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash")), "first")
+    rows = first.count()
+    if not rows:
+        return bodies
+    if rows <= BROADCAST_ROWS:  # else the texts are exchanged by their ids
+        first = F.broadcast(first)
+    found = texts.join(first, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("class", "text")
+    # rows that are the same in id and text give a class the same set more than once
+    found = found.mapInArrow(_reader(width), "class long, own binary").groupBy("class").agg(F.first("own").alias("own"))
+    return bodies.unionAll(staged(found, "bodies"))
+
+
 def _near_roots(links: DataFrame) -> DataFrame:
     """(node, root) of linked nodes by two steps along the links: one root means one component, not the reverse."""
     up = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
@@ -178,10 +193,7 @@ def _similar(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     wanted = sets.join(lists.select(F.col("class").alias("row")).distinct(), "row", "left_semi")
     wanted = staged(wanted.select(F.col("row").alias("class"), "id", "text_hash", "bits"), "wanted")
     bitmaps = wanted.select("class", "bits")
-    first = wanted.select("class", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
-    bodies = texts.join(first, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("class", "text")
-    # rows that are the same in id and text give a class the same set more than once
-    bodies = staged(bodies.mapInArrow(_reader(width), "class long, own binary").groupBy("class").agg(F.first("own").alias("own")), "bodies")
+    bodies = spark.createDataFrame([], "class long, own binary")
 
     links = tested = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
@@ -201,6 +213,7 @@ def _similar(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pairs.join(bitmaps.select(F.col("class").alias("a"), F.col("bits").alias("bits_a")), "a").join(bitmaps.select(F.col("class").alias("b"), F.col("bits").alias("bits_b")), "b")
         pairs = staged(pairs.where(_bits_allow(percent, "bits_a", "bits_b")).select("a", "b", "n", "lead_n"), "pairs")
+        bodies = _sets_of(pairs, bodies, wanted, texts, width)
         left = bodies.select(F.col("class").alias("a"), F.col("own").alias("own_a"))
         right = bodies.select(F.col("class").alias("b"), F.col("own").alias("own_b"))
         compared = pairs.join(left, "a").join(right, "b").withColumn("common", _common("own_a", "own_b"))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from riskloom.llm import exact, fingerprints, jaccard, lm, mixing, packing, pii, quality, queries, sharding, suffix
+from riskloom.llm.common import staged
 from riskloom.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, key string, bucket int, n long, first string"
@@ -113,6 +114,26 @@ def test_jaccard_remaining_pairs(docs, monkeypatch):
     assert sorted(map(repr, jaccard.join_similar(docs, 4, 85).collect())) == usual
 
 
+def test_sets_are_read_for_pairs_only(spark, monkeypatch):
+    """Texts that share a rare shingle but cannot link are listed; only texts of possible pairs are read again."""
+    seen = {"pairs": [], "bodies": []}
+
+    def note(df, label):
+        table = staged(df, label)
+        seen.get(label, []).append(table)
+        return table
+
+    monkeypatch.setattr(jaccard, "staged", note)
+    words = lambda i: [f"w{i}x{j}" for j in range(15)]
+    apart = [(i, " ".join(words(i // 5) + words(10 + i % 5))) for i in range(20)]  # each half is met in several texts
+    near = [(100 + i, " ".join(words(50) + words(51) + [f"end{i}"])) for i in range(3)]
+    got = jaccard.join_similar(spark.createDataFrame(apart + near, "doc_id long, text string"), 4, 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: min(i, 100) for i, _ in apart + near}
+    pairs = {c for p in seen["pairs"] for r in p.collect() for c in (r.a, r.b)}
+    assert sorted(r["class"] for b in seen["bodies"] for r in b.collect()) == sorted(pairs)
+    assert len(pairs) < 10
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(50, 40), (41, 50), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
