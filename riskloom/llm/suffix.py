@@ -8,10 +8,11 @@ windows share a group, and runs of neighbouring windows of one group travel as o
    which answer which ones occur in several documents, and which in very many.
 2. For those, each bucket sends its distinct snippets with their smallest id to the groups' owners, so copies
    count once in a bucket however many there are.
-3. Owners unite equal snippets and sort the windows of different ones that share a group as suffixes: a mergesort whose comparisons find the
-   common extension by binary search over prefix polynomial hashes. Neighbours that seem equal, and the order
-   itself, are verified on the bytes. Equal windows take their smallest id. A group of very many
-   documents is not gathered: its windows are dealt singly, by their own hash.
+3. Owners unite equal snippets and sort the windows of different ones that share a group as suffixes: by their
+   words of eight bytes, one after the other, in runs that still tie. A run whose windows have one polynomial hash
+   needs no further words. Neighbours that seem equal, and the order itself, are verified on the bytes. Equal
+   windows take their smallest id. A group of very many documents is not gathered: its windows are dealt singly,
+   by their own hash.
 4. The buckets read off, for every window of every document, whether that id is smaller than its own.
 
 Defined results: a null text counts as empty; rows with one id do not affect each other; a null id counts as
@@ -138,15 +139,22 @@ def _answer(limit: int):
         values, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(inverse, docs, len(values))
         shared, hot = values[total > 1], values[total > limit]
-        kept = [h[np.isin(h, shared)] for h in hashes]
-        return pa.table({"bucket": table.column("bucket"), "hashes": pa.array([h.tobytes() for h in kept], pa.binary()), "hot": pa.array([h[np.isin(h, hot)].tobytes() for h in kept], pa.binary())})
+        kept = [h[_among(h, shared)] for h in hashes]
+        return pa.table({"bucket": table.column("bucket"), "hashes": pa.array([h.tobytes() for h in kept], pa.binary()), "hot": pa.array([h[_among(h, hot)].tobytes() for h in kept], pa.binary())})
 
     return answer
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of the values occur in `known`, which is in order."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _shared_runs(ids: list, texts: list[bytes], shared: np.ndarray, length: int):
     data, start, windows, group, text = runs(texts, length)
-    keep = np.flatnonzero(np.isin(group, shared))
+    keep = np.flatnonzero(_among(group, shared))
     raw = data.tobytes()
     for s, n, g, t in zip(start[keep].tolist(), windows[keep].tolist(), group[keep].view(np.int64).tolist(), text[keep].tolist(), strict=True):
         yield s, n, g, t, raw[s : s + n + length - 1]
@@ -165,7 +173,7 @@ def _snippets(length: int):
     """(bucket, hash, group, snippet, smallest and largest id) of a bucket's distinct snippets."""
 
     def collect(table: pa.Table, answers: pa.Table) -> pa.Table:
-        shared, met = _joined(answers.column("hashes")), {}
+        shared, met = np.sort(_joined(answers.column("hashes"))), {}
         hot = set(_joined(answers.column("hot")).view(np.int64).tolist())
         for ids, texts in _slices(table):
             order = _order(ids)
@@ -183,92 +191,66 @@ def _snippets(length: int):
 
 
 class Suffixes:
-    """Suffixes of a byte string, in groups, compared on their first `length` bytes by prefix polynomial hashes."""
+    """Suffixes of a byte string, in groups, ordered by their first `length` bytes (eight at least)."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray, length: int, group: np.ndarray | None = None):
         self.data, self.at, self.length = data, at, length
         self.group = np.zeros(len(at), np.int64) if group is None else group
+        self.words = np.ndarray((max(0, len(data) - 7),), ">u8", data, strides=(1,))  # at every byte
+        self.offsets = [*range(0, length - 8, 8), length - 8]
+
+    def hashes(self) -> np.ndarray:
+        """Polynomial hashes of the first `length` bytes, from sums over all bytes before."""
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        powers = np.cumprod(np.append(np.uint64(1), np.full(len(data), _BASE)), dtype=np.uint64)
-        self.back = np.cumprod(np.append(np.uint64(1), np.full(len(data), inverse)), dtype=np.uint64)
-        self.sums = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], dtype=np.uint64))
-
-    def hash(self, start: np.ndarray, n: np.ndarray | int) -> np.ndarray:
-        return (self.sums[start + n] - self.sums[start]) * self.back[start]
-
-    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the common extension of suffixes a and b, at most `length`."""
-        x, y = self.at[a], self.at[b]
-        lo, hi = np.zeros(len(x), np.int64), np.full(len(x), self.length, np.int64)
-        while (lo < hi).any():
-            mid = (lo + hi + 1) // 2
-            same = self.hash(x, mid) == self.hash(y, mid)
-            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-        return lo
-
-    def compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """-1, 0 or 1; groups first."""
-        out = np.sign(self.group[a] - self.group[b])
-        same = np.flatnonzero(out == 0)
-        out[same] = self._compare(a[same], b[same])
-        return out
-
-    def _compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        n = self.common(a, b)
-        inside = np.minimum(n, self.length - 1)
-        x, y = self.data[self.at[a] + inside].astype(np.int64), self.data[self.at[b] + inside].astype(np.int64)
-        return np.where(n >= self.length, 0, np.sign(x - y))
+        powers = np.cumprod(np.append(np.uint64(1), np.full(len(self.data), _BASE)), dtype=np.uint64)
+        sums = np.append(np.uint64(0), np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers[:-1], dtype=np.uint64))
+        del powers
+        back = np.cumprod(np.append(np.uint64(1), np.full(len(self.data), inverse)), dtype=np.uint64)
+        return (sums[self.at + self.length] - sums[self.at]) * back[self.at]
+
+    def word(self, which: np.ndarray, offset: int) -> np.ndarray:
+        return self.words[self.at[which] + offset].astype(np.uint64)
 
     def sorted(self) -> np.ndarray:
-        """Mergesort, all pairs of runs of one width at once: ranks in the other run by binary search."""
-        n, width = len(self.at), 1
+        """By group, then by one word after the other, where a run of ties has several hashes."""
+        whole = self.hashes()
         order = np.argsort(self.group, kind="stable")
-        place = np.arange(n)
-        while width < n:
-            pair = place // (2 * width) * (2 * width)
-            left = place < pair + width
-            lo = np.minimum(np.where(left, pair + width, pair), n)
-            hi = np.minimum(np.where(left, pair + 2 * width, pair + width), n)
-            base = lo.copy()
-            # the runs follow each other by group, so only the group at their seam needs a search
-            own, seam = self.group[order], np.minimum(pair + width, n - 1)
-            hi = np.where(left & (own < self.group[order[seam]]), lo, hi)
-            lo = np.where(~left & (own > self.group[order[np.maximum(seam - 1, 0)]]), hi, lo)
-            while True:
-                todo = np.flatnonzero(lo < hi)
-                if not len(todo):
-                    break
-                mid = (lo[todo] + hi[todo]) // 2
-                sign = self.compare(order[mid], order[todo])
-                before = (sign < 0) | ((sign == 0) & ~left[todo])
-                lo[todo] = np.where(before, mid + 1, lo[todo])
-                hi[todo] = np.where(before, hi[todo], mid)
-            moved = np.empty_like(order)
-            moved[pair + (place - np.where(left, pair, pair + width)) + (lo - base)] = order
-            order, width = moved, 2 * width
+        open_, run = np.arange(len(order)), self.group[order]
+        for offset in self.offsets:
+            # of the open places, which are in runs with several hashes
+            first = np.flatnonzero(np.append(True, run[1:] != run[:-1])[: len(run)])
+            sizes = np.diff(np.append(first, len(run)))
+            own = whole[order[open_]]
+            unlike = np.logical_or.reduceat(own != np.repeat(own[first], sizes), first) if len(first) else np.zeros(0, bool)
+            stay = np.repeat(unlike, sizes)
+            open_, run = open_[stay], np.repeat(np.arange(len(first)), sizes)[stay]
+            if not len(open_):
+                break
+            which = order[open_]
+            word = self.word(which, offset)
+            by_word = np.lexsort((word, run))
+            order[open_], run, word = which[by_word], run[by_word], word[by_word]
+            run = np.cumsum(np.append(True, (run[1:] != run[:-1]) | (word[1:] != word[:-1])))
         return order
 
-    def bytes_at(self, which: np.ndarray) -> np.ndarray:
-        return self.data[self.at[which][:, None] + np.arange(self.length)]
-
     def classes(self) -> tuple[np.ndarray, np.ndarray]:
         """The suffixes in order, and where a different one begins; verified on the bytes."""
         order = self.sorted()
         new, good = [np.ones(min(1, len(order)), bool)], True
-        for i in range(1, len(order), 1 << 16):
-            stop = min(len(order), i + (1 << 16))
-            a, b = self.bytes_at(order[i - 1 : stop - 1]).astype(np.int16), self.bytes_at(order[i:stop]).astype(np.int16)
-            differ = a != b
-            at = differ.argmax(axis=1)
-            rows = np.arange(len(at))
-            new.append(differ.any(axis=1))
-            apart = self.group[order[i - 1 : stop - 1]] != self.group[order[i:stop]]
-            good &= bool((~new[-1] | apart | (a[rows, at] < b[rows, at])).all())
+        for i in range(1, len(order), 1 << 18):
+            part = order[i - 1 : i + (1 << 18)]
+            group = self.group[part]
+            apart, less = group[1:] != group[:-1], group[1:] > group[:-1]
+            for offset in self.offsets:
+                word = self.word(part, offset)
+                less |= ~apart & (word[1:] > word[:-1])
+                apart |= word[1:] != word[:-1]
+            new.append(apart)
+            good &= bool((less | ~apart).all())
         if not good:  # a collision misled the order
-            keys = np.ascontiguousarray(self.bytes_at(np.arange(len(self.at)))).view(f"V{self.length}")[:, 0]
-            _, inverse = np.unique(np.array([bytes(k) for k in keys], dtype=object), return_inverse=True)
-            order = np.argsort(inverse, kind="stable")
-            return order, np.append(True, np.diff(inverse[order]) != 0)
+            keys = [(g, self.data[a : a + self.length].tobytes()) for g, a in zip(self.group.tolist(), self.at.tolist(), strict=True)]
+            order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
+            return order, np.array([True] + [keys[a] != keys[b] for a, b in zip(order[:-1].tolist(), order[1:].tolist(), strict=True)])
         return order, np.concatenate(new)
 
 
@@ -281,7 +263,7 @@ def _settle(length: int):
         for key, lo in zip(keys, table.column("lo").to_pylist(), strict=True):
             united[key] = min(lo, united.get(key, lo))
         met = Counter(g for g, _ in united)
-        least = {key: [lo] for key, lo in united.items()}
+        several: dict[tuple[int, bytes], list[int]] = {}  # of snippets whose windows have different ids
         mixed_keys = [key for key in united if met[key[0]] > 1]
         if mixed_keys:
             n = np.array([len(s) - length + 1 for _, s in mixed_keys], np.int64)
@@ -293,10 +275,13 @@ def _settle(length: int):
             own = np.repeat(np.array([united[key] for key in mixed_keys], np.int64), n)[order]
             out = np.empty(len(order), np.int64)
             out[order] = np.minimum.reduceat(own, np.flatnonzero(new))[np.cumsum(new) - 1]
-            for key, part in zip(mixed_keys, np.split(out, np.cumsum(n)[:-1]), strict=True):
-                least[key] = part.tolist() if (part != part[0]).any() else [int(part[0])]
+            first = np.cumsum(n) - n
+            lowest, most = np.minimum.reduceat(out, first), np.maximum.reduceat(out, first)
+            united.update(zip(mixed_keys, lowest.tolist(), strict=True))
+            for i in np.flatnonzero(lowest != most).tolist():
+                several[mixed_keys[i]] = out[first[i] : first[i] + n[i]].tolist()
         others = (table.column(c).to_pylist() for c in ("bucket", "home", "hi"))
-        rows = [(b, home, key[0], _name(key[1]), least[key]) for key, b, home, hi in zip(keys, *others, strict=True) if min(least[key]) < hi]
+        rows = [(b, home, key[0], _name(key[1]), several.get(key) or [united[key]]) for key, b, home, hi in zip(keys, *others, strict=True) if united[key] < hi]
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
         return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "home", "grp", "name", "least"])
 
@@ -305,24 +290,26 @@ def _settle(length: int):
 
 def _remove(length: int):
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        known = {(g, s): np.array(m, np.int64) for g, s, m in zip(*(answers.column(c).to_pylist() for c in ("grp", "name", "least")), strict=True)}
+        known = dict(zip(zip(*(answers.column(c).to_pylist() for c in ("grp", "name")), strict=True), answers.column("least").to_pylist(), strict=True))
         home, group = (answers.column(c).to_numpy() if answers.num_rows else np.zeros(0, np.int64) for c in ("home", "grp"))
-        shared, hot = np.unique(home).view(np.uint64), set(home[home != group].tolist())
+        shared, hot = np.unique(home.view(np.uint64)), set(home[home != group].tolist())
         rows = []
         for ids, texts in _slices(table):
-            order, sizes = _order(ids), [len(t) for t in texts]
+            order, sizes = _order(ids).tolist(), [len(t) for t in texts]
             starts = np.cumsum(sizes) - sizes
-            cover = np.zeros(sum(sizes) + 1, np.int32)
+            begin, end = [], []  # of what goes
             for s, n, g, t, snippet in _shared_runs(ids, texts, shared, length):
                 if g in hot:
-                    names = [_name(snippet[j : j + length]) for j in range(n)]
-                    least = np.array([known.get((x, x), [LARGEST])[0] for x in names], np.int64)
+                    least = [known.get((x, x), [LARGEST])[0] for x in (_name(snippet[j : j + length]) for j in range(n))]
+                else:
+                    least = known.get((g, _name(snippet)), ())
+                if len(least) == 1:  # one id for all windows
+                    hit = [(s, n)] if least[0] < order[t] else []
                 else:
-                    least = known.get((g, _name(snippet)))
-                if least is not None:
-                    hit = s + np.flatnonzero(np.broadcast_to(least, n) < order[t])
-                    cover[hit] += 1
-                    cover[hit + length] -= 1
+                    hit = [(s + j, 1) for j, x in enumerate(least) if x < order[t]]
+                begin += [a for a, _ in hit]
+                end += [a + m - 1 + length for a, m in hit]
+            cover = np.bincount(np.array(begin, np.int64), minlength=sum(sizes) + 1) - np.bincount(np.array(end, np.int64), minlength=sum(sizes) + 1)
             gone = np.cumsum(cover)[:-1] > 0
             for i, text, start, size in zip(ids, texts, starts, sizes, strict=True):
                 mask = gone[start : start + size]

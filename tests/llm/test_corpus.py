@@ -173,6 +173,26 @@ def test_suffix_order_is_that_of_the_bytes():
     assert list(new) == [True] + [a != b for a, b in zip(keys, keys[1:], strict=False)]
 
 
+def test_suffixes_need_few_words(monkeypatch):
+    """Copies tie on all their words, but are not compared on them; a misleading hash changes no result."""
+    rng = np.random.default_rng(5)
+    block = rng.integers(97, 101, 3000).astype(np.uint8)
+    data = np.concatenate([block, rng.integers(97, 101, 500).astype(np.uint8), block])
+    at = np.arange(len(data) - 50)
+    keys = [data[a : a + 50].tobytes() for a in at.tolist()]
+    read, word = [], suffix.Suffixes.word
+    monkeypatch.setattr(suffix.Suffixes, "word", lambda self, which, offset: read.append(len(which)) or word(self, which, offset))
+    order = suffix.Suffixes(data, at, 50).sorted()
+    assert sum(read) < 3 * len(at)
+    assert [keys[i] for i in order] == sorted(keys)
+    monkeypatch.setattr(suffix.Suffixes, "hashes", lambda self: np.zeros(len(self.at), np.uint64))
+    group = at % 3
+    order, new = suffix.Suffixes(data, at, 50, group).classes()
+    pairs = [(group[i], keys[i]) for i in order]
+    assert pairs == sorted(pairs)
+    assert list(new) == [True] + [a != b for a, b in zip(pairs, pairs[1:], strict=False)]
+
+
 def test_packing_places(docs, rows):
     files = queries.vocabulary_files()
     got = packing.pack(docs, *files).collect()
