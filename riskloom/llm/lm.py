@@ -4,7 +4,8 @@ Tokens are words with A-Z in lower case, and an end token. The model predicts cl
 frequent words is a class of its own, the others are classed by their last letter. The score of a class after
 two others is bilinear: their vectors, weighted by place, summed and multiplied with the class's vector, plus
 its bias. Training compares true classes with noise drawn from the class frequencies; every task trains on its
-own documents from common weights, and the weights are averaged by tokens, for a few rounds. For scoring, the
+own documents from common weights, and the weights are averaged by tokens, for a few rounds. The rounds read the
+classes of the training tokens from a table, so that a text is split once for all of them. For scoring, the
 normaliser of a pair of classes is worked out by a matrix product over all classes, so probabilities sum to
 one. Within a class of rarer words a word has its discounted share of the class's tokens, and what the
 discount frees is the probability of words never seen in training.
@@ -97,6 +98,11 @@ class Language:
     def classes(self) -> int:
         return len(self.class_count)
 
+    @property
+    def kind_type(self) -> type:
+        """The smallest type that holds all classes and the start."""
+        return np.int16 if self.classes < 1 << 15 else np.int32
+
     def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Place among the frequent words, or -1, and class."""
         at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
@@ -122,12 +128,14 @@ class Language:
         pair = one * (self.classes + 1) + two
         met = np.unique(pair)
         met = met[np.isnan(self.normaliser[met])]
-        for i in range(0, len(met), 2048):
-            part = met[i : i + 2048]
+        for i in range(0, len(met), 512):
+            part = met[i : i + 512]
             q = w.context[part // (self.classes + 1)] * w.place[0] + w.context[part % (self.classes + 1)] * w.place[1]
-            s = q @ w.target.T + w.bias
+            s = q @ w.target.T
+            s += w.bias
             top = s.max(axis=1)
-            self.normaliser[part] = np.log(np.exp(s - top[:, None]).sum(axis=1)) + top
+            s -= top[:, None]
+            self.normaliser[part] = np.log(np.exp(s, out=s).sum(axis=1)) + top
         q = w.context[one] * w.place[0] + w.context[two] * w.place[1]
         return ((q * w.target[kinds]).sum(axis=1) + w.bias[kinds] - self.normaliser[pair]).astype(np.float64) / LOG10
 
@@ -149,30 +157,54 @@ def _tail(word: Column) -> Column:
     return F.when((F.octet_length(word) > 0) & code.between(0, 25), code).otherwise(26)
 
 
-def _sums(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows with one index."""
-    flat = (index[:, None] * SIZE + np.arange(SIZE)).ravel()
-    return np.bincount(flat, rows.ravel(), size * SIZE).reshape(size, SIZE).astype(np.float32)
+def _sums(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different indices, and the sums of their rows."""
+    order = np.argsort(index, kind="stable")
+    index = index[order]
+    first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+    return index[first], np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+
+
+def _climb(value: np.ndarray, past: np.ndarray, at: np.ndarray, slope: np.ndarray, rate: np.float32) -> None:
+    """One step of the rows `at`, with step sizes by past slopes; the other rows have no slope."""
+    squares = past.take(at, axis=0) + slope * slope
+    past[at] = squares
+    value[at] += rate * slope / np.sqrt(squares + np.float32(1e-10))
 
 
 def _learn(batch: tuple[np.ndarray, np.ndarray, np.ndarray], w: Weights, seen: list[np.ndarray], noise: np.ndarray, share: np.ndarray, rate: float) -> None:
     """One step of noise-contrastive estimation on a batch, with step sizes by past slopes."""
     one, two, kind = batch
-    x, y = w.context[one], w.context[two]
+    n, rate = np.float32(len(kind)), np.float32(rate)
+    x, y = w.context.take(one, axis=0), w.context.take(two, axis=0)
     q = x * w.place[0] + y * w.place[1]
+    own, others, excess = w.target.take(kind, axis=0), w.target.take(noise, axis=0), w.bias - share
     with np.errstate(over="ignore"):
-        true = 1 / (1 + np.exp((q * w.target[kind]).sum(axis=1) + w.bias[kind] - share[kind]))
-        false = 1 / (1 + np.exp(-(q @ w.target[noise].T + w.bias[noise] - share[noise])))
-    n = len(kind)
-    for_q = (true[:, None] * w.target[kind] - false @ w.target[noise]) / n
-    classes = len(w.target)
-    target = _sums(np.concatenate([kind, noise]), np.concatenate([true[:, None] * q, -(false.T @ q)]), classes) / n
-    bias = (np.bincount(kind, true, classes) - np.bincount(noise, false.sum(axis=0), classes)).astype(np.float32) / n
-    context = _sums(np.concatenate([one, two]), np.concatenate([for_q * w.place[0], for_q * w.place[1]]), classes + 1)
-    place = np.stack([(for_q * x).sum(axis=0), (for_q * y).sum(axis=0)])
-    for value, slope, past in zip((w.context, w.target, w.bias, w.place), (context, target, bias, place), seen, strict=True):
-        past += slope * slope
-        value += rate * slope / np.sqrt(past + 1e-10)
+        true = 1 / (1 + np.exp(np.einsum("ij,ij->i", q, own) + excess.take(kind)))
+        false = 1 / (1 + np.exp(-(q @ others.T + excess.take(noise))))
+    for_q = (true[:, None] * own - false @ others) / n
+    slopes = np.empty((len(kind) + len(noise), SIZE + 1), np.float32)  # of targets and biases
+    slopes[: len(kind), :-1], slopes[: len(kind), -1] = true[:, None] * q, true
+    slopes[len(kind) :, :-1], slopes[len(kind) :, -1] = -(false.T @ q), -false.sum(axis=0)
+    target, slopes = _sums(np.concatenate([kind, noise]), slopes / n)
+    context, for_context = _sums(np.concatenate([one, two]), np.concatenate([for_q * w.place[0], for_q * w.place[1]]))
+    place = np.stack([np.einsum("ij,ij->j", for_q, x), np.einsum("ij,ij->j", for_q, y)])
+    steps = ((context, for_context), (target, slopes[:, :-1]), (target, slopes[:, -1]), (np.arange(2), place))
+    for value, past, (at, slope) in zip((w.context, w.target, w.bias, w.place), seen, steps, strict=True):
+        _climb(value, past, at, slope, rate)
+
+
+def _reader(language: Language):
+    """The classes of each text's tokens, as bytes of numbers."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text"):
+            lists = [tokens(t) for t in raw(batch.column("text"))]
+            kinds = language.read([t for x in lists for t in x])[1].astype(language.kind_type)
+            ends = np.cumsum([len(x) for x in lists])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.split(kinds, ends[:-1])], pa.binary())], ["kinds"])
+
+    return read
 
 
 def _trainer(language: Language, seed: int):
@@ -185,15 +217,14 @@ def _trainer(language: Language, seed: int):
         p = (language.class_count + 0.5) / (language.class_count + 0.5).sum()
         share = np.log(NOISE * p).astype(np.float32)
         edges, met = np.cumsum(p), 0
-        for batch in byte_slices(batches, "text"):
-            lists = [tokens(t) for t in raw(batch.column("text"))]
-            lengths = np.array([len(x) for x in lists])
-            kinds = language.read([t for x in lists for t in x])[1]
-            one, two = language.contexts(kinds, lengths)
+        for batch in byte_slices(batches, "kinds", 1 << 20):
+            rows = batch.column("kinds").to_pylist()
+            kinds = np.frombuffer(b"".join(rows), language.kind_type)
+            one, two = (x.astype(kinds.dtype) for x in language.contexts(kinds, np.array([len(x) // kinds.itemsize for x in rows])))
             order = rng.permutation(len(kinds))
             for i in range(0, len(order), BATCH):
                 at = order[i : i + BATCH]
-                noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(p) - 1)
+                noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(p) - 1).astype(kinds.dtype)
                 _learn((one[at], two[at], kinds[at]), w, seen, noise, share, 0.1)
             met += len(kinds)
         if met:
@@ -226,9 +257,10 @@ def fit(docs: DataFrame, text_col: str = "text", head: int = HEAD, known: int =
     c = language.classes
     p = (class_count + 0.5) / (class_count + 0.5).sum()
     weights = Weights(rng.normal(0, 0.3, (c + 1, SIZE)), rng.normal(0, 0.1, (c, SIZE)), np.log(p), np.full((2, SIZE), 0.7))
+    kinds_read = staged(texts.mapInArrow(_reader(language), "kinds binary"), "kinds")
     for turn in range(rounds):
         language.weights = Weights.of(weights.rows())
-        trained = texts.mapInArrow(_trainer(language, turn), "row long, n long, v array<double>")
+        trained = kinds_read.mapInArrow(_trainer(language, turn), "row long, n long, v array<double>")
         mean = trained.groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(F.col("v")[i] * F.col("n")).alias(f"v{i}") for i in range(2 * SIZE + 1)]).collect()  # a row for each class
         if mean:
             wide = np.zeros((c + 2, 2 * SIZE + 1))

@@ -366,6 +366,22 @@ def test_language_model(docs, rows):
     assert sum(r.score for r in got) > sum(r.base_score for r in got) * 1.05
 
 
+def test_training_reads_classes_once(docs, rows, monkeypatch):
+    """A text is split once for all rounds, which read its tokens' classes from a table."""
+    seen = []
+
+    def note(df, label):
+        seen.append((label, staged(df, label)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(lm, "staged", note)
+    language, _ = lm.fit(docs, head=20, known=50, rounds=2)
+    kinds = [table for label, table in seen if label == "kinds"]
+    assert len(kinds) == 1
+    want = collections.Counter(tuple(language.read(lm.tokens((t or "").encode()))[1].tolist()) for _, t, *_ in rows)
+    assert collections.Counter(tuple(np.frombuffer(r.kinds, language.kind_type).tolist()) for r in kinds[0].collect()) == want
+
+
 def test_empty_tables(empty):
     assert exact.find_copies(empty).count() == 0
     assert jaccard.join_similar(empty).count() == 0
