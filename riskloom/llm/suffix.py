@@ -15,6 +15,9 @@ windows share a group, and runs of neighbouring windows of one group travel as o
    by their own hash.
 4. The buckets read off, for every window of every document, whether that id is smaller than its own.
 
+What one side sends to the other in a step is one row: hashes in order as differences, numbers by byte planes,
+snippets end to end, all compressed, as hashes and short snippets would not shrink row by row.
+
 Defined results: a null text counts as empty; rows with one id do not affect each other; a null id counts as
 larger than all others; an empty table gives an empty result. Other columns are not read.
 """
@@ -42,9 +45,58 @@ RUN = 64
 HOT_SNIPPETS = 20_000
 SLICE = 2 << 20
 LARGEST = (1 << 63) - 1
+#: Bits of a group's hash that are not sent; groups that then coincide are settled together.
+SPARED = np.uint64(8)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _squeezed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
+def _restored(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, "zstd", asbytes=True)
+
+
+def _pack(values: np.ndarray, ordered: bool = False) -> bytes:
+    """Numbers by byte planes, compressed; differences of those in order."""
+    if not len(values):
+        return b""
+    values = np.ascontiguousarray(np.diff(values, prepend=values.dtype.type(0)) if ordered else values)
+    return _squeezed(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
+
+
+def _unpack(packed: bytes, n: int, kind: type, ordered: bool = False) -> np.ndarray:
+    if not n:
+        return np.zeros(0, kind)
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(_restored(packed, n * width), np.uint8).reshape(width, n)
+    values = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if ordered else values
+
+
+def _columns(table: pa.Table, *names: str) -> Iterator[tuple]:
+    return zip(*(table.column(c).to_pylist() for c in names), strict=True)
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    """A table of rows; `schema` as Spark has it."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table([pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(fields)], names=[name for name, _ in fields])
+
+
+def _runs_of(*keys: np.ndarray) -> list[tuple[int, int]]:
+    """Where rows with the same keys begin and end."""
+    n = len(keys[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    start = np.flatnonzero(new)
+    return list(zip(start.tolist(), np.append(start[1:], n).tolist(), strict=False))
+
+
 def _gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hashes of all strings of `width` bytes, a power of two."""
     h, base, n = data.astype(np.uint64) + np.uint64(1), _BASE, 1
@@ -77,7 +129,7 @@ def runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
     at = np.flatnonzero(np.arange(len(group)) + length <= ends[owner[: len(group)]])
     if not len(at):
         return data, empty, empty, empty.astype(np.uint64), empty
-    value = group[at]
+    value = group[at] >> SPARED
     cut = np.append(True, (value[1:] != value[:-1]) | (at[1:] != at[:-1] + 1))
     first = np.flatnonzero(cut)
     along = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
@@ -102,6 +154,12 @@ def _order(ids: list) -> np.ndarray:
     return np.array([LARGEST if i is None else i for i in ids], np.int64)
 
 
+ANNOUNCED = "bucket int, part int, n long, hashes binary, docs binary"
+ANSWERED = "bucket int, n long, hashes binary, n_hot long, hot binary"
+FOUND = "bucket int, owner int, n long, grp binary, home binary, sizes binary, bytes long, snippets binary, lo binary, above binary"
+SETTLED = "bucket int, n long, grp binary, home binary, name binary, counts binary, ids long, least binary"
+
+
 def _announce(parts: int, length: int):
     """Group hashes of a bucket with the number of its documents that have them, by owner."""
 
@@ -121,11 +179,8 @@ def _announce(parts: int, length: int):
         part = (group % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         part, group, docs = part[order], group[order], docs[order]
-        start = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
-        rows = [(int(part[a]), group[a:b].tobytes(), docs[a:b].tobytes()) for a, b in zip(start, np.append(start[1:], len(part)), strict=True)]
         bucket = table.column("bucket")[0].as_py()
-        kinds = (pa.int32(), pa.binary(), pa.binary())
-        return pa.table([pa.array([bucket] * len(rows), pa.int32()), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=["bucket", "part", "hashes", "docs"])
+        return _table([(bucket, int(part[a]), b - a, _pack(group[a:b], True), _pack(docs[a:b])) for a, b in _runs_of(part)], ANNOUNCED)
 
     return announce
 
@@ -134,13 +189,13 @@ def _answer(limit: int):
     """To each bucket, which of its hashes occur in several documents, and which in very many."""
 
     def answer(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(b, np.uint64) for b in table.column("hashes").to_pylist()]
-        docs = np.concatenate([np.frombuffer(b, np.uint16) for b in table.column("docs").to_pylist()])
+        hashes = [_unpack(packed, n, np.uint64, True) for n, packed in _columns(table, "n", "hashes")]
+        docs = np.concatenate([_unpack(packed, n, np.uint16) for n, packed in _columns(table, "n", "docs")])
         values, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(inverse, docs, len(values))
         shared, hot = values[total > 1], values[total > limit]
-        kept = [h[_among(h, shared)] for h in hashes]
-        return pa.table({"bucket": table.column("bucket"), "hashes": pa.array([h.tobytes() for h in kept], pa.binary()), "hot": pa.array([h[_among(h, hot)].tobytes() for h in kept], pa.binary())})
+        kept = [(h[_among(h, shared)], h[_among(h, hot)]) for h in hashes]
+        return _table([(b, len(s), _pack(s, True), len(h), _pack(h, True)) for b, (s, h) in zip(table.column("bucket").to_pylist(), kept, strict=True)], ANSWERED)
 
     return answer
 
@@ -160,8 +215,8 @@ def _shared_runs(ids: list, texts: list[bytes], shared: np.ndarray, length: int)
         yield s, n, g, t, raw[s : s + n + length - 1]
 
 
-def _joined(blobs: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs.to_pylist()), np.uint64)
+def _joined(answers: pa.Table, size: str, packed: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *(_unpack(p, n, np.uint64, True) for n, p in _columns(answers, size, packed))])
 
 
 def _name(snippet: bytes) -> int:
@@ -169,12 +224,12 @@ def _name(snippet: bytes) -> int:
     return signed(xxhash.xxh3_64_intdigest(snippet))
 
 
-def _snippets(length: int):
-    """(bucket, hash, group, snippet, smallest and largest id) of a bucket's distinct snippets."""
+def _snippets(length: int, owners: int):
+    """Of a bucket's distinct snippets, for each owner: group, the group's hash where it differs, snippet, smallest and largest id."""
 
     def collect(table: pa.Table, answers: pa.Table) -> pa.Table:
-        shared, met = np.sort(_joined(answers.column("hashes"))), {}
-        hot = set(_joined(answers.column("hot")).view(np.int64).tolist())
+        shared, met = np.sort(_joined(answers, "n", "hashes")), {}
+        hot = set(_joined(answers, "n_hot", "hot").view(np.int64).tolist())
         for ids, texts in _slices(table):
             order = _order(ids)
             for _, n, g, t, snippet in _shared_runs(ids, texts, shared, length):
@@ -183,13 +238,33 @@ def _snippets(length: int):
                     lo, hi = met.get((g, part), (i, i))
                     met[g, part] = (min(lo, i), max(hi, i))
         bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
-        rows = [(bucket, g, _name(part) if g in hot else g, part, lo, hi) for (g, part), (lo, hi) in met.items()]
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "home", "grp", "snippet", "lo", "hi"])
+        home = np.fromiter((g for g, _ in met), np.int64, len(met))
+        grp = np.fromiter((_name(part) if g in hot else g for g, part in met), np.int64, len(met))
+        parts = [part for _, part in met]
+        lo, hi = np.array(list(met.values()), np.int64).reshape(-1, 2).T
+        owner = (grp.view(np.uint64) % np.uint64(owners)).astype(np.int64)
+        order = np.lexsort((grp.view(np.uint64), owner))
+        rows = []
+        for a, b in _runs_of(owner[order]):
+            own = order[a:b]
+            snippets = [parts[i] for i in own.tolist()]
+            text = b"".join(snippets)
+            sizes = np.array([len(s) for s in snippets], np.uint32)
+            rows.append((bucket, int(owner[own[0]]), b - a, _pack(grp[own].view(np.uint64), True), _homes(home[own], grp[own]), _pack(sizes), len(text), _squeezed(text), _pack(lo[own]), _pack(hi[own] - lo[own])))
+        return _table(rows, FOUND)
 
     return collect
 
 
+def _homes(home: np.ndarray, grp: np.ndarray) -> bytes:
+    return b"" if (home == grp).all() else _pack(home)
+
+
+def _groups(grp: bytes, home: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    groups = _unpack(grp, n, np.uint64, True).view(np.int64)
+    return groups, _unpack(home, n, np.int64) if home else groups
+
+
 class Suffixes:
     """Suffixes of a byte string, in groups, ordered by their first `length` bytes (eight at least)."""
 
@@ -258,10 +333,19 @@ def _settle(length: int):
     """To each bucket, for its snippets, the smallest id of each window (one number if it is the same for all)."""
 
     def settle(table: pa.Table) -> pa.Table:
-        keys = list(zip(table.column("grp").to_pylist(), table.column("snippet").to_pylist(), strict=True))
+        keys: list[tuple[int, bytes]] = []
         united: dict[tuple[int, bytes], int] = {}
-        for key, lo in zip(keys, table.column("lo").to_pylist(), strict=True):
-            united[key] = min(lo, united.get(key, lo))
+        homes, largest = [], []
+        for n, grp, home, sizes, size, snippets, lo, above in _columns(table, "n", "grp", "home", "sizes", "bytes", "snippets", "lo", "above"):
+            groups, own_homes = _groups(grp, home, n)
+            lows = _unpack(lo, n, np.int64)
+            text, ends = _restored(snippets, size), np.cumsum(_unpack(sizes, n, np.uint32), dtype=np.int64).tolist()
+            homes.append(own_homes)
+            largest.append(lows + _unpack(above, n, np.int64))
+            for g, a, b, least in zip(groups.tolist(), [0, *ends], ends, lows.tolist(), strict=False):
+                key = (g, text[a:b])
+                keys.append(key)
+                united[key] = min(least, united.get(key, least))
         met = Counter(g for g, _ in united)
         several: dict[tuple[int, bytes], list[int]] = {}  # of snippets whose windows have different ids
         mixed_keys = [key for key in united if met[key[0]] > 1]
@@ -280,19 +364,34 @@ def _settle(length: int):
             united.update(zip(mixed_keys, lowest.tolist(), strict=True))
             for i in np.flatnonzero(lowest != most).tolist():
                 several[mixed_keys[i]] = out[first[i] : first[i] + n[i]].tolist()
-        others = (table.column(c).to_pylist() for c in ("bucket", "home", "hi"))
-        rows = [(b, home, key[0], _name(key[1]), several.get(key) or [united[key]]) for key, b, home, hi in zip(keys, *others, strict=True) if united[key] < hi]
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "home", "grp", "name", "least"])
+        rows, at = [], 0
+        for bucket, own_homes, most in zip(table.column("bucket").to_pylist(), homes, largest, strict=True):
+            mine = keys[at : at + len(most)]
+            at += len(most)
+            told = [i for i, (key, hi) in enumerate(zip(mine, most.tolist(), strict=True)) if united[key] < hi]
+            if not told:
+                continue
+            least = [several.get(mine[i]) or [united[mine[i]]] for i in told]
+            groups, names = (np.array(x, np.int64) for x in ([mine[i][0] for i in told], [_name(mine[i][1]) for i in told]))
+            flat = np.array([x for ids in least for x in ids], np.int64)
+            rows.append((bucket, len(told), _pack(groups.view(np.uint64), True), _homes(own_homes[told], groups), _pack(names), _pack(np.array([len(ids) for ids in least], np.uint32)), len(flat), _pack(flat)))
+        return _table(rows, SETTLED)
 
     return settle
 
 
 def _remove(length: int):
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        known = dict(zip(zip(*(answers.column(c).to_pylist() for c in ("grp", "name")), strict=True), answers.column("least").to_pylist(), strict=True))
-        home, group = (answers.column(c).to_numpy() if answers.num_rows else np.zeros(0, np.int64) for c in ("home", "grp"))
-        shared, hot = np.unique(home.view(np.uint64)), set(home[home != group].tolist())
+        known: dict[tuple[int, int], list[int]] = {}
+        homes, hot = [np.zeros(0, np.int64)], set()
+        for n, grp, home, name, counts, ids, least in _columns(answers, "n", "grp", "home", "name", "counts", "ids", "least"):
+            groups, own_homes = _groups(grp, home, n)
+            homes.append(own_homes)
+            hot.update(own_homes[own_homes != groups].tolist())
+            flat, ends = _unpack(least, ids, np.int64).tolist(), np.cumsum(_unpack(counts, n, np.uint32), dtype=np.int64).tolist()
+            names = _unpack(name, n, np.int64).tolist()
+            known.update(((g, x), flat[a:b]) for g, x, a, b in zip(groups.tolist(), names, [0, *ends], ends, strict=False))
+        shared = np.unique(np.concatenate(homes).view(np.uint64))
         rows = []
         for ids, texts in _slices(table):
             order, sizes = _order(ids).tolist(), [len(t) for t in texts]
@@ -332,9 +431,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_bucket = dealt.groupBy("bucket")
 
     # one plan, so that the texts are exchanged once for all three
-    announced = by_bucket.applyInArrow(_announce(min(buckets, 1024), length), "bucket int, part int, hashes binary, docs binary")
-    answers = announced.groupBy("part").applyInArrow(_answer(HOT_SNIPPETS), "bucket int, hashes binary, hot binary")
-    found = by_bucket.cogroup(answers.groupBy("bucket")).applyInArrow(_snippets(length), "bucket int, home long, grp long, snippet binary, lo long, hi long")
-    owner = F.pmod(F.xxhash64("grp"), F.lit(buckets)).alias("owner")
-    back = found.groupBy(owner).applyInArrow(_settle(length), "bucket int, home long, grp long, name long, least array<long>")
+    announced = by_bucket.applyInArrow(_announce(min(buckets, 1024), length), ANNOUNCED)
+    answers = announced.groupBy("part").applyInArrow(_answer(HOT_SNIPPETS), ANSWERED)
+    found = by_bucket.cogroup(answers.groupBy("bucket")).applyInArrow(_snippets(length, buckets), FOUND)
+    back = found.groupBy("owner").applyInArrow(_settle(length), SETTLED)
     return by_bucket.cogroup(back.groupBy("bucket")).applyInArrow(_remove(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)

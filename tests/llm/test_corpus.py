@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskloom.llm import exact, fingerprints, jaccard, lm, mixing, packing, pii, quality, queries, sharding, suffix
@@ -164,6 +165,21 @@ def test_repeats_are_removed(docs, rows, hot, monkeypatch):
     assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
 
 
+def test_snippets_travel_packed():
+    """What a bucket sends to the owners is one row each, and smaller than the snippets in it."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinsr") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    body = " ".join(rng.choice(words) for _ in range(4000)).encode()
+    table = pa.table({"bucket": pa.array([3, 3], pa.int32()), "id": [5, None], "text": [body, body[:9000]]})
+    told = suffix._announce(2, 50)(table)
+    hashes = sum(told.column("n").to_pylist())
+    assert told.num_rows <= 2 and told.nbytes < 8 * hashes
+    found = suffix._snippets(50, 4)(table, suffix._answer(20_000)(told))
+    assert 0 < found.num_rows <= 4 and found.nbytes < 0.6 * sum(found.column("bytes").to_pylist())
+    for values in (np.array([7, 7, 1 << 63], np.uint64), np.zeros(0, np.uint64)):
+        assert (suffix._unpack(suffix._pack(values, True), len(values), np.uint64, True) == values).all()
+
+
 def test_suffix_order_is_that_of_the_bytes():
     data = np.frombuffer(b"abracadabra-abracadabra-banana" * 9, np.uint8)
     at = np.arange(len(data) - 12)
