@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import exact, jaccard, mixing, packing, quality
-from riskloom.llm.common import documents, labels, small_batches, staged
+from riskloom.llm.common import documents, labels, passing_tables, small_batches, staged
 from riskloom.llm.queries import domains, vocabulary_files
 
 #: Wanted shares of the tokens; plain documents keep theirs.
@@ -65,5 +65,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with passing_tables() as keep:
+            docs = keep(staged(stage(spark, docs, sf_dir), f"pipeline-{name}"))
     return STAGES[-1][1](spark, docs, sf_dir)

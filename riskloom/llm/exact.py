@@ -108,13 +108,17 @@ def build_index(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_
     `first` marks the row that stays among those of one text in its page.
     """
     spark = docs.sparkSession
-    entries = spark.createDataFrame(directory(docs, text_col, bucket_bytes), "entry int, bucket int, pages long")
+    found = directory(docs, text_col, bucket_bytes)
+    # from an Arrow table, as rows of a list would start further Python workers on every executor
+    kinds = {"entry": pa.int32(), "bucket": pa.int32(), "pages": pa.int64()}
+    entries = spark.createDataFrame(pa.table({name: pa.array([r[i] for r in found], kind) for i, (name, kind) in enumerate(kinds.items())}))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(0).alias("__none")).alias("carried")
     ).select("*", text_key("text").alias("key"), F.length("text").cast("long").alias("cp"))
     rows = (
         rows.withColumn("entry", _entry(F.col("key")))
-        .join(F.broadcast(entries), "entry")  # at most 2 ** DIRECTORY_BITS rows
+        # at most 2 ** DIRECTORY_BITS rows, with every entry: an inner join would also work out the keys before it, to test them for null
+        .join(F.broadcast(entries), "entry", "left")
         .withColumn("page", F.pmod(F.xxhash64("id", "cp", F.crc32("text")), F.col("pages")).cast("int"))
         .drop("entry")
     )

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import MASK64, byte_slices, signed, staged, text_of
+from riskloom.llm.common import MASK64, byte_slices, nothing, passing_tables, signed, staged, text_of
 from riskloom.llm.components import components
 from riskloom.llm.registers import BROADCAST_ROWS, shingle_sets
 
@@ -193,10 +193,10 @@ def _similar(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     wanted = sets.join(lists.select(F.col("class").alias("row")).distinct(), "row", "left_semi")
     wanted = staged(wanted.select(F.col("row").alias("class"), "id", "text_hash", "bits"), "wanted")
     bitmaps = wanted.select("class", "bits")
-    bodies = spark.createDataFrame([], "class long, own binary")
+    bodies = nothing(spark, "class long, own binary")
 
-    links = tested = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
+    links = tested = nothing(spark, "a long, b long")
+    roots = nothing(spark, "node long, root long")
     for turn in range(ROUNDS + 1):
         marked = lists.join(roots, lists["class"] == roots["node"], "left").select(*lists.columns, F.coalesce("root", "class").alias("label"))
         marked = staged(marked, "marked")
@@ -248,12 +248,13 @@ def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     The row with the smallest id stays, a null id only where there is no other; of several texts under that id,
     the one with the smallest hash; of rows that are the same in id and text, any one.
     """
-    found = staged(_similar(docs, width, percent, id_col, text_col).where("n > 0"), "similar")
-    best = found.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("best"))
-    rows = found.groupBy("label", "id", "text_hash").agg(F.count("*").alias("rows")).join(best, "label")
-    stays = F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.text_hash") == F.col("text_hash"))
-    marks = rows.select(F.col("id").alias("mark_id"), F.col("text_hash").alias("mark_hash"), stays.alias("stays"), "rows")
-    marks = staged(marks.where("NOT stays OR rows > 1"), "marks")
+    with passing_tables() as keep:
+        found = staged(_similar(docs, width, percent, id_col, text_col).where("n > 0"), "similar")
+        best = found.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("best"))
+        rows = found.groupBy("label", "id", "text_hash").agg(F.count("*").alias("rows")).join(best, "label")
+        stays = F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.text_hash") == F.col("text_hash"))
+        marks = rows.select(F.col("id").alias("mark_id"), F.col("text_hash").alias("mark_hash"), stays.alias("stays"), "rows")
+        marks = keep(staged(marks.where("NOT stays OR rows > 1"), "marks"))
     carried = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried")
     inner = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"), carried)
     match = F.col("id").eqNullSafe(F.col("mark_id")) & (F.col("text_hash") == F.col("mark_hash"))

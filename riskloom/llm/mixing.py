@@ -89,7 +89,8 @@ class DomainClassifier:
     def sums(self, read: DataFrame) -> DataFrame:
         """For every row of what was read: row, n, and what its features add by domain."""
         own = read.withColumn("met", F.array_append("met", F.struct(F.lit("none").alias("kind"), F.array(F.lit("none")).alias("features"))))
-        nothing = self.weights.sparkSession.createDataFrame([("none", "none", *[0.0] * len(self.domains))], self.weights.schema)
+        one = self.weights.sparkSession.range(1)
+        nothing = one.select(F.lit("none").alias("kind"), F.lit("none").alias("feature"), *[F.lit(0.0).alias(f"w{i}") for i in range(len(self.domains))])
         sums = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(self.domains))]
         return _features(own, "row", "n").join(_small(self.weights.unionByName(nothing)), ["kind", "feature"]).groupBy("row", "n").agg(*sums)
 

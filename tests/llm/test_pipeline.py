@@ -3,10 +3,11 @@
 import collections
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from riskloom.llm import jaccard, packing, quality
+from riskloom.llm import exact, jaccard, packing, quality
 from riskloom.llm.queries import vocabulary_files
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, carried string, text_hash string"
@@ -97,3 +98,22 @@ def test_empty_tables(spark, folder, tmp_path, marked):
     marks = spark.read.parquet(f"{folder}/labels.parquet")
     (marks if marked else marks.limit(0)).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_leave_only_their_marks(spark, tmp_path, monkeypatch):
+    """Tables on the way are deleted before the result is read, and no second set of Python workers is started."""
+    monkeypatch.setattr("riskloom.session.shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **k: pytest.fail("a frame from a list"))
+    docs = spark.createDataFrame(pa.table({"doc_id": range(4), "text": ["a b c d e f g h i j k l", "a b c d e f g h i j k l m", "x y", ""]}))
+    kept = jaccard.drop_similar(docs)
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["llm-marks"]
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
+    single = exact.drop_copies(docs)
+    assert single.count() == 4
+
+
+def test_exact_copies_read_each_text_once(spark):
+    """Beside the directory's, one pass over the texts for their keys."""
+    docs = spark.createDataFrame([(1, "a"), (2, "a ")], "doc_id long, text string")
+    plan = exact.build_index(docs, docs.columns)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
