@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import SPACES, raw, signed, staged, text_of
+from riskloom.llm.common import SPACES, raw, signed, staged, text_of, tidied
 
 #: Entries of the directory at its full width. The directory and its counts are held by the driver.
 DIRECTORY_BITS = 16
@@ -124,7 +124,7 @@ def build_index(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_
     )
     schema = T.StructType([f for f in rows.schema.fields if f.name != "text"]).add("first", "boolean").add("sha", "string")
     owned = rows.repartition("bucket", "page").sortWithinPartitions("bucket", "page", "key", F.desc("cp"), F.asc_nulls_last("id"))
-    return owned.mapInArrow(_own, schema)
+    return owned.mapInArrow(tidied(_own), schema)
 
 
 def _winners(index: DataFrame) -> DataFrame:

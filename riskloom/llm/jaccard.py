@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import MASK64, byte_slices, nothing, passing_tables, signed, staged, text_of
+from riskloom.llm.common import MASK64, byte_slices, nothing, passing_tables, signed, staged, text_of, tidied
 from riskloom.llm.components import components
 from riskloom.llm.registers import BROADCAST_ROWS, shingle_sets
 
@@ -73,7 +73,7 @@ def _shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = min(max(1 << (size // BYTES_PER_BUCKET).bit_length(), LEAST_BUCKETS), MOST_BUCKETS)
     schema = "piece int, counts binary"
-    rows = texts.select("text").mapInArrow(_counter(width, buckets), schema).repartition("piece").mapInArrow(_summed, schema)
+    rows = texts.select("text").mapInArrow(tidied(_counter(width, buckets)), schema).repartition("piece").mapInArrow(tidied(_summed), schema)
     counts = np.zeros((buckets // PIECE, PIECE), np.uint64)
     for r in rows.collect():  # at most MOST_BUCKETS / PIECE rows
         counts[r.piece] = np.frombuffer(r.counts, np.uint64)
@@ -125,9 +125,12 @@ def _reader(width: int):
     return read
 
 
-@F.pandas_udf(T.LongType())
-def _common(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in zip(a, b, strict=True)], dtype="int64")
+def _in_both(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for a, b in batches:
+        yield pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in zip(a, b, strict=True)], dtype="int64")
+
+
+_common = F.pandas_udf(tidied(_in_both), T.LongType())
 
 
 def _open_lists(sets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -169,7 +172,7 @@ def _sets_of(pairs: DataFrame, bodies: DataFrame, wanted: DataFrame, texts: Data
         first = F.broadcast(first)
     found = texts.join(first, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("class", "text")
     # rows that are the same in id and text give a class the same set more than once
-    found = found.mapInArrow(_reader(width), "class long, own binary").groupBy("class").agg(F.first("own").alias("own"))
+    found = found.mapInArrow(tidied(_reader(width)), "class long, own binary").groupBy("class").agg(F.first("own").alias("own"))
     return bodies.unionAll(staged(found, "bodies"))
 
 
@@ -185,7 +188,7 @@ def _similar(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("text_hash"))
     counts = _shingle_counts(texts, width)
-    sets = staged(texts.mapInArrow(_describer(width, percent, counts), SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
+    sets = staged(texts.mapInArrow(tidied(_describer(width, percent, counts)), SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
     classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("class"), F.min("id").alias("least_id"), F.min("prefix_hash").alias("prefix_hash"))
     classes = staged(classes, "classes")
     lists = _open_lists(sets, classes)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import byte_slices, staged, text_of
+from riskloom.llm.common import byte_slices, staged, text_of, tidied
 
 SEQUENCE = 1024
 END_ID = 2
@@ -48,16 +48,31 @@ PIECES = T.StructType(
 )
 
 
-@lru_cache(maxsize=2)
-def _encoders(vocabulary: str, ranks: str):
+@lru_cache(maxsize=1)
+def _fast(ranks: str):
     import tiktoken
     from public_tokenizers import PATTERN
-    from tokenizers import Tokenizer
 
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-    return fast, Tokenizer.from_file(vocabulary)
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+
+
+@lru_cache(maxsize=1)
+def _exact(vocabulary: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary)
+
+
+def _encoders(vocabulary: str, ranks: str):
+    """The faster library's encoder and that of `tokenizers`, each kept until the task ends."""
+    return _fast(ranks), _exact(vocabulary)
+
+
+def _forget_encoders() -> None:
+    _fast.cache_clear()
+    _exact.cache_clear()
 
 
 def encode(text: str, vocabulary: str, ranks: str) -> np.ndarray:
@@ -65,10 +80,9 @@ def encode(text: str, vocabulary: str, ranks: str) -> np.ndarray:
 
     Both files hold one vocabulary and give the same ids; the ranks file is read by the faster library.
     """
-    fast, exact = _encoders(vocabulary, ranks)
     if SPECIAL in text:
-        return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
-    return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), "<u4")
+        return np.array(_exact(vocabulary).encode(text, add_special_tokens=False).ids, "<u4")
+    return np.asarray(_fast(ranks).encode_to_numpy(text, disallowed_special=()), "<u4")
 
 
 def cut(n: int, limit: int = SEQUENCE) -> list[tuple[int, int]]:
@@ -175,11 +189,11 @@ def _placer(places: dict[int, tuple[np.ndarray, ...]]):
 def pack(docs: DataFrame, vocabulary: str, ranks: str, id_col: str = "doc_id", text_col: str = "text", limit: int = SEQUENCE) -> DataFrame:
     """One row for each piece: where it starts in its document, its checksum, and its place in a sequence."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"))
-    pieces = staged(texts.mapInArrow(_cutter(vocabulary, ranks, limit), PIECES), "pieces")
+    pieces = staged(texts.mapInArrow(tidied(_cutter(vocabulary, ranks, limit), _forget_encoders), PIECES), "pieces")
     counts = staged(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "lengths")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `limit` rows
     steps = plan(histogram, limit)
     earlier = counts.select("length", "part", F.expr("sum(n) OVER (PARTITION BY length ORDER BY part) - n AS earlier"))
     ranked = pieces.join(earlier, ["length", "part"]).select("id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("earlier")).alias("rank"))
     schema = T.StructType([f for f in PIECES if f.name not in ("part", "rank")]).add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(_placer(_places(steps, limit)), schema).withColumnRenamed("id", id_col)
+    return ranked.mapInArrow(tidied(_placer(_places(steps, limit))), schema).withColumnRenamed("id", id_col)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import WordTable, byte_slices, mixed, raw, staged, text_of
+from riskloom.llm.common import WordTable, byte_slices, free_memory, mixed, raw, staged, text_of, tidied
 
 PLACES = 1 << 18
 #: Labelled rows of each class, at most, from which the hinge-loss weights are fitted.
@@ -48,6 +48,10 @@ def _shape(word: bytes) -> bytes:
 _words = WordTable(2, lambda w: (xxhash.xxh3_64_intdigest(w.lower()), xxhash.xxh3_64_intdigest(_shape(w), 1)))
 
 
+def _forget_words() -> None:
+    _words.clear()
+
+
 def features(text: bytes) -> np.ndarray:
     """The distinct places of a text's n-grams, in order."""
     words = text.split()
@@ -155,7 +159,14 @@ def _fitter(ratio: np.ndarray, shares: tuple[float, float]):
         used = np.flatnonzero(w)
         return pd.DataFrame({"place": np.append(used, [-1, -2]), "weight": np.append(w[used], [slope, shift])})
 
-    return fit
+    def fit_and_free(sample: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return fit(sample)
+        finally:
+            _forget_words()
+            free_memory()
+
+    return fit_and_free
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> QualityModel:
@@ -166,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         marks = F.broadcast(marks)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).join(marks, "id")
     rows = staged(rows, "labelled")
-    counted = rows.select("text", "label").mapInArrow(_count, "place long, zeros long, ones long").groupBy("place").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    counted = rows.select("text", "label").mapInArrow(tidied(_count, _forget_words), "place long, zeros long, ones long").groupBy("place").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     found = counted.toPandas()  # at most one row for each place
     zeros, ones = np.zeros(PLACES), np.zeros(PLACES)
     real = found[found["place"] >= 0]
@@ -190,8 +201,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def with_scores(docs: DataFrame, model: QualityModel, text_col: str = "text", score: str = "score") -> DataFrame:
     """The rows with the probability that a text's label is 1."""
 
-    @F.pandas_udf(T.DoubleType())
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t.encode()) for t in texts], dtype="float64")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([model.score(t.encode()) for t in texts], dtype="float64")
 
-    return docs.withColumn(score, scored(text_of(text_col)))
+    return docs.withColumn(score, F.pandas_udf(tidied(scored, _forget_words), T.DoubleType())(text_of(text_col)))

@@ -117,3 +117,24 @@ def test_exact_copies_read_each_text_once(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a ")], "doc_id long, text string")
     plan = exact.build_index(docs, docs.columns)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_idle_workers_keep_no_encoders_and_no_words(spark):
+    """Python workers outlive their tasks, beside the later stages of their executor."""
+    docs = spark.createDataFrame(pa.table({"doc_id": list(range(40)), "text": [f"some words {i} and others <|endoftext|>"[: 20 + i] for i in range(40)]})).repartition(8)
+    model = quality.QualityModel(quality.np.ones(quality.PLACES), 1.0, 0.0)
+    assert quality.with_scores(docs, model).where("score >= 0").count() == 40
+    assert packing.pack(docs, *vocabulary_files()).count() == 40
+
+    def left(batches):
+        import gc
+
+        from riskloom.llm import quality
+
+        yield from ()
+        for _ in batches:
+            kept = sum(type(o).__name__ in ("Encoding", "Tokenizer") and type(o).__module__.split(".")[0] in ("tiktoken", "tokenizers") for o in gc.get_objects())
+            yield pa.RecordBatch.from_pydict({"encoders": [kept], "words": [len(quality._words.places)]}, schema=pa.schema([("encoders", pa.int64()), ("words", pa.int64())]))
+
+    rows = spark.range(0, 64, 1, 8).mapInArrow(left, "encoders long, words long").collect()
+    assert {(r.encoders, r.words) for r in rows} == {(0, 0)}
