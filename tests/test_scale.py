@@ -57,3 +57,12 @@ def test_buckets_take_no_sketch(spark, monkeypatch):
     monkeypatch.setattr(F, "percentile_approx", lambda *a: pytest.fail("a sketch is merged by one task"))
     df = spark.range(1001).select((F.col("id") * 1.0).alias("x"))
     assert quantiles.exact_quantiles(df, ["x"], [0.5], small_values=10) == {"x": [500.0]}
+
+
+def test_only_background_rows_are_encoded(rows, monkeypatch):
+    bundle = models.fit(rows, ["c"], ["x", "n"], models.LINEAR, models.ModelSettings(linear_iterations=3))
+    seen, means = [], models.background_means
+    monkeypatch.setattr(models, "background_means", lambda encoded, width: seen.append(encoded) or means(encoded, width))
+    many = rows.union(rows.withColumn("event_id", F.col("event_id") + 200).withColumn("x", F.lit(1e6)))
+    assert bundle.means(many, ["event_id"]) == pytest.approx(bundle.means(rows, ["event_id"]))
+    assert "Limit" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
